@@ -127,3 +127,41 @@ COMPANIES_COLUMNS = [
     "id", "image", "name", "size", "num_employees", "industry",
     "nationality", "address", "url", "inserted_at", "updated_at",
 ]
+
+
+def prune(schema: StructType, paths: list[str]) -> StructType:
+    """Sub-schema holding only the dotted `paths` (arrays of structs are descended).
+
+    Decoding with it makes the JSON parser skip unused fields instead of building
+    them; Catalyst does not prune ``from_json`` once the document is referenced twice.
+    """
+    from pyspark.sql.types import ArrayType as _A
+
+    tree: dict = {}
+    for p in paths:
+        node = tree
+        for part in p.split("."):
+            node = node.setdefault(part, {})
+
+    def cut(dt, node):
+        if not node:
+            return dt
+        if isinstance(dt, _A):
+            return _A(cut(dt.elementType, node), dt.containsNull)
+        if isinstance(dt, StructType):
+            missing = set(node) - set(dt.fieldNames())
+            if missing:
+                raise ValueError(f"unknown fields {sorted(missing)}")
+            return StructType(
+                [StructField(f.name, cut(f.dataType, node[f.name]), f.nullable) for f in dt.fields if f.name in node]
+            )
+        raise ValueError(f"cannot descend into {dt.simpleString()}")
+
+    return cut(schema, tree)
+
+
+# Fields the jobs tables read; decode with this to skip the rest of each document.
+JOB_FIELDS_USED = [
+    "_id", "title", "content", "detail_url", "inserted_at", "updated_at", "owned_id", "skills_str",
+    "requirements_arr.value", "salary.is_negotiable", "salary.value", "benefits.value",
+]
