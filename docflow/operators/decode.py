@@ -17,17 +17,21 @@ def as_text(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.select(c.alias("value"))
 
 
-def parse(df: DataFrame, schema: StructType, value_col: str = "value", keep_raw: bool = False) -> DataFrame:
+def parse(
+    df: DataFrame, schema: StructType, value_col: str = "value", keep_raw: bool = False, key: str = "_id"
+) -> DataFrame:
     """Permissive ``from_json`` then star-expansion of the document struct.
 
     A field whose JSON type does not fit its declared type decodes to NULL and the
     rest of the document survives; malformed text and NULL input give all-NULL rows.
+    `keep_raw` adds `raw_value`, the input text of rows whose `key` failed to decode
+    (NULL for good rows, so a persisted batch does not carry every document twice).
     """
-    cols = [F.from_json(F.col(value_col), schema).alias(_DOC)]
+    parsed = df.select(F.from_json(F.col(value_col), schema).alias(_DOC), F.col(value_col).alias("__raw"))
+    extra = []
     if keep_raw:
-        cols.append(F.col(value_col).alias("raw_value"))
-    out = df.select(*cols).select(f"{_DOC}.*", *(["raw_value"] if keep_raw else []))
-    return out
+        extra = [F.when(F.col(f"{_DOC}.{key}").isNull(), F.col("__raw")).alias("raw_value")]
+    return parsed.select(f"{_DOC}.*", *extra)
 
 
 def is_valid(key: str = "_id") -> Column:
@@ -44,7 +48,7 @@ def decode_documents(
     one parse; callers writing both should ``persist`` the parsed frame first
     (see ``split_parsed``) so the text is decoded once.
     """
-    parsed = parse(df, schema, value_col, keep_raw=True)
+    parsed = parse(df, schema, value_col, keep_raw=True, key=key)
     return split_parsed(parsed, key)
 
 

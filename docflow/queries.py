@@ -201,7 +201,7 @@ def q_jobs_stream(spark, sf_dir):
     """Flagship: JSON documents as a file stream -> per-batch decode + flatten -> idempotent Parquet."""
     landed = _land_as_text(spark, dt.job_json(spark, sf_dir), "jobs_landed")
     out, bad = scratch_path(spark, "jobs_out"), scratch_path(spark, "jobs_quarantine")
-    _drain(spark, landed, decode_to_files(JOB_SCHEMA, jobs_table, out, bad), "jobs", max_files=2)
+    _drain(spark, landed, decode_to_files(JOB_SCHEMA, jobs_table, out, bad), "jobs")
     return spark.read.parquet(out).drop(BATCH_COL).select(*JOBS_STREAM_COLUMNS)
 
 

@@ -56,7 +56,10 @@ def job_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = order_items(
         read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
     )
-    joined = orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
+    # Shuffle join on the order key: `items` is already hash-partitioned by it (its
+    # aggregate), so only orders move, and the nesting below runs in every partition.
+    # A broadcast would put the whole per-document encode on the orders scan's tasks.
+    joined = orders.join(items.hint("shuffle_merge"), orders.o_orderkey == items.l_orderkey, "left")
     millis = ts_to_epoch_millis("o_orderdate")
     req = _expand(
         F.col("items"),

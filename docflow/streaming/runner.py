@@ -52,7 +52,7 @@ def decode_to_files(
     """
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch_df, schema, "value", keep_raw=True).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse(batch_df, schema, "value", keep_raw=True, key=key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, quarantine = split_parsed(parsed, key)
             write_batch(transform(valid), out_path, batch_id, fmt)
