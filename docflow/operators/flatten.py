@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.columns import DEFAULT_SEP, element_text, flatten_text_col
@@ -51,11 +51,16 @@ def explode_elements(
 ) -> DataFrame:
     """One row per array element: (key, pos, text). Rows with NULL / empty arrays vanish.
 
-    ``posexplode`` keeps the element position so order survives any later shuffle.
+    The position keeps element order through any later shuffle. ``posexplode_outer``
+    plus a filter on the generated position, rather than ``posexplode``: for the
+    latter Catalyst infers ``size(arr) > 0`` and pushes it below the projection that
+    decodes the document, so every document would be parsed twice.
     """
-    return df.select(
-        F.col(key), *[F.col(c) for c in keep], F.posexplode(F.col(array_col)).alias("pos", "__elem")
-    ).select(F.col(key), *keep, "pos", element_text(F.col("__elem"), value_field, sep).alias("text"))
+    return (
+        df.select(F.col(key), *[F.col(c) for c in keep], F.posexplode_outer(F.col(array_col)).alias("pos", "__elem"))
+        .filter(F.col("pos").isNotNull())
+        .select(F.col(key), *keep, "pos", element_text(F.col("__elem"), value_field, sep).alias("text"))
+    )
 
 
 def collect_concat(
@@ -101,11 +106,3 @@ def attach_text(base: DataFrame, texts: DataFrame, key: str = "_id", how: str =
         raise ValueError("how must be 'left' or 'inner'")
     return base.join(texts, on=key, how=how)
 
-
-def text_column(texts: DataFrame, key: str, name: str) -> DataFrame:
-    return texts.withColumnRenamed("text", name).select(key, name)
-
-
-def element_count(arr: Column | str) -> Column:
-    a = F.col(arr) if isinstance(arr, str) else arr
-    return F.coalesce(F.size(a), F.lit(0))
