@@ -134,3 +134,4 @@ ORACLE: dict[str, str] = {
     """,
     "jsonl_sink": _JOBS_SQL,
 }
+ORACLE["inner_join_requirements"] = ORACLE["flatten_inner"]

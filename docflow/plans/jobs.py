@@ -54,3 +54,40 @@ def jobs_batch_table(docs: DataFrame, sep: str = DEFAULT_SEP) -> DataFrame:
         _date("updated_at").alias("updated_at"),
     )
     return out.select(*JOBS_BATCH_COLUMNS)
+
+
+JOBS_BATCH_SQL = """
+SELECT
+    j._id            AS id,
+    j.title,
+    j.content,
+    j.owned_id,
+    j.skills_str     AS skills,
+    j.salary.value   AS salary,
+    j.detail_url     AS url,
+    r.requirement,
+    j.inserted_at,
+    j.updated_at
+FROM {jobs} j
+INNER JOIN {requirements} r ON j._id = r._id
+"""
+
+
+def jobs_batch_sql(spark, docs: DataFrame, sep: str = DEFAULT_SEP, jobs_view: str = "jobs",
+                   req_view: str = "requirements") -> DataFrame:
+    """The batch variant in its original shape: ordered per-id requirement text from an
+    explode + aggregate, joined back in SQL with an INNER JOIN (documents without
+    requirements drop out). Dates are converted before the view so the SQL sees timestamps.
+
+    Costs two aggregation shuffles and a join against ``jobs_batch_table``'s none; kept
+    for users whose requirement text comes from a separate, already flat table.
+    """
+    from docflow.operators.flatten import collect_concat, explode_elements
+
+    texts = collect_concat(explode_elements(docs, "_id", "requirements_arr", sep=sep), "_id", "text",
+                           out="requirement", sep=sep)
+    docs.withColumn("inserted_at", _date("inserted_at")).withColumn(
+        "updated_at", _date("updated_at")
+    ).createOrReplaceTempView(jobs_view)
+    texts.createOrReplaceTempView(req_view)
+    return spark.sql(JOBS_BATCH_SQL.format(jobs=jobs_view, requirements=req_view))

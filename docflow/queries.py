@@ -252,3 +252,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+
+
+def q_inner_join_requirements(spark, sf_dir):
+    """Batch jobs table through explode + ordered aggregate + SQL INNER JOIN."""
+    from docflow.plans.jobs import jobs_batch_sql
+
+    return jobs_batch_sql(spark, _job_docs(spark, sf_dir), jobs_view="jobs_docs", req_view="jobs_requirements")
+
+
+QUERIES["inner_join_requirements"] = q_inner_join_requirements

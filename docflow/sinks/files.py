@@ -71,3 +71,9 @@ def write_store(spark: SparkSession, df: DataFrame, root: str, fmt: str = "parqu
     nxt = (vs[-1] + 1) if vs else 1
     df.write.mode("overwrite").format(fmt).save(f"{root.rstrip('/')}/v={nxt}")
     return nxt
+
+
+def preview(df: DataFrame, n: int = 20, truncate: bool = True, enabled: bool = False) -> None:
+    """Print the first rows. Off unless `enabled`: each call is an extra Spark job."""
+    if enabled:
+        df.show(n, truncate=truncate)
