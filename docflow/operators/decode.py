@@ -27,11 +27,17 @@ def parse(
     `keep_raw` adds `raw_value`, the input text of rows whose `key` failed to decode
     (NULL for good rows, so a persisted batch does not carry every document twice).
     """
-    parsed = df.select(F.from_json(F.col(value_col), schema).alias(_DOC), F.col(value_col).alias("__raw"))
-    extra = []
-    if keep_raw:
-        extra = [F.when(F.col(f"{_DOC}.{key}").isNull(), F.col("__raw")).alias("raw_value")]
-    return parsed.select(f"{_DOC}.*", *extra)
+    # The document is expanded by a generator (inline of a one-element array) rather
+    # than a Project: predicates on its fields then stay above the decode, whereas
+    # through a Project Catalyst substitutes from_json into each pushed-down filter
+    # and parses every document once more per filter.
+    doc = F.inline(F.array(F.from_json(F.col(value_col), schema)))
+    if not keep_raw:
+        return df.select(doc)
+    parsed = df.select(doc, F.col(value_col).alias("__raw"))
+    names = [f.name for f in schema.fields]
+    raw = F.when(F.col(key).isNull(), F.col("__raw")).alias("raw_value")
+    return parsed.select(*[F.col(f"`{n}`") for n in names], raw)
 
 
 def is_valid(key: str = "_id") -> Column:
