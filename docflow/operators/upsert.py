@@ -8,10 +8,11 @@ $setOnInsert: {inserted_at: now}}, upsert=True)`` applied to a history of items:
 * a field absent from an item keeps its stored value (``roll_up_fields``);
 * ``inserted_at`` is the time of the first item, ``updated_at`` of the last.
 
-Everything is an aggregate (``max_by`` / ``min`` / ``max`` / ``bool_or``), so Spark
+Roll-ups are aggregates (``max_by`` / ``min`` / ``max`` / ``bool_or``), so Spark
 combines map-side before the shuffle and a hot key never gathers its raw rows in
-one task. Merging a delta into a stored table is a union + the same aggregate,
-not a full outer join (which AQE cannot split when a key is skewed).
+one task. A merge joins two roll-ups, each unique per key, with a full outer join:
+no key can fan out or skew, and when the stored side is bucketed by the key
+(``docflow.sinks.keyed_store``) only the delta is shuffled.
 """
 
 from __future__ import annotations
@@ -41,18 +42,26 @@ def roll_up(
     )
 
 
+def _pair(target: DataFrame, delta: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    t = target.select(key, *[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("t__in"))
+    d = delta.select(key, *[F.col(c).alias(f"d__{c}") for c in cols], F.lit(True).alias("d__in"))
+    return t.join(d, on=key, how="full_outer")
+
+
 def merge(target: DataFrame, delta: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """Apply a rolled-up delta (later) to a rolled-up target (earlier).
+    """Apply a rolled-up delta (later) to a rolled-up target (earlier); both unique per key.
 
-    Delta rows win field by field; ``inserted_at`` stays the target's when the key
-    existed; ``updated_at`` comes from the delta when present.
+    A key in the delta takes the delta's document; ``inserted_at`` stays the target's
+    when the key existed; ``updated_at`` comes from the delta when present.
     """
-    cols = [key, *fields, INSERTED, UPDATED]
-    both = target.select(*cols, F.lit(0).alias("__v")).unionByName(delta.select(*cols, F.lit(1).alias("__v")))
-    return both.groupBy(key).agg(
-        *[F.max_by(F.col(f), F.col("__v")).alias(f) for f in fields],
-        F.min_by(F.col(INSERTED), F.col("__v")).alias(INSERTED),
-        F.max_by(F.col(UPDATED), F.col("__v")).alias(UPDATED),
+    cols = [*fields, INSERTED, UPDATED]
+    j = _pair(target, delta, key, cols)
+    in_d = F.coalesce(F.col("d__in"), F.lit(False))
+    return j.select(
+        key,
+        *[F.when(in_d, F.col(f"d__{f}")).otherwise(F.col(f"t__{f}")).alias(f) for f in fields],
+        F.coalesce(F.col(f"t__{INSERTED}"), F.col(f"d__{INSERTED}")).alias(INSERTED),
+        F.when(in_d, F.col(f"d__{UPDATED}")).otherwise(F.col(f"t__{UPDATED}")).alias(UPDATED),
     )
 
 
@@ -86,17 +95,18 @@ def roll_up_fields(
 
 def merge_fields(target: DataFrame, delta: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """Merge two field-level roll-ups; a delta field overrides only where the delta had it."""
-    cols = [key, *fields, *[has(f) for f in fields], INSERTED, UPDATED]
-    both = target.select(*cols, F.lit(0).alias("__v")).unionByName(delta.select(*cols, F.lit(1).alias("__v")))
-    aggs = []
+    cols = [*fields, *[has(f) for f in fields], INSERTED, UPDATED]
+    j = _pair(target, delta, key, cols)
+    out = [key]
     for f in fields:
-        aggs.append(F.max_by(F.col(f), F.when(F.col(has(f)), F.col("__v"))).alias(f))
-        aggs.append(F.bool_or(F.col(has(f))).alias(has(f)))
-    return both.groupBy(key).agg(
-        *aggs,
-        F.min_by(F.col(INSERTED), F.col("__v")).alias(INSERTED),
-        F.max_by(F.col(UPDATED), F.col("__v")).alias(UPDATED),
-    )
+        d_has = F.coalesce(F.col(f"d__{has(f)}"), F.lit(False))
+        out.append(F.when(d_has, F.col(f"d__{f}")).otherwise(F.col(f"t__{f}")).alias(f))
+    for f in fields:
+        out.append((F.coalesce(F.col(f"t__{has(f)}"), F.lit(False)) | F.coalesce(F.col(f"d__{has(f)}"), F.lit(False))).alias(has(f)))
+    in_d = F.coalesce(F.col("d__in"), F.lit(False))
+    out.append(F.coalesce(F.col(f"t__{INSERTED}"), F.col(f"d__{INSERTED}")).alias(INSERTED))
+    out.append(F.when(in_d, F.col(f"d__{UPDATED}")).otherwise(F.col(f"t__{UPDATED}")).alias(UPDATED))
+    return j.select(*out)
 
 
 def apply_batches(

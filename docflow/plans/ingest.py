@@ -42,3 +42,22 @@ def ingest_crawls(
     if state is None:
         raise ValueError("no crawls")
     return state
+
+
+def ingest_crawl_into_store(
+    spark,
+    root: str,
+    pages: DataFrame,
+    doc_schema: StructType,
+    fields: Sequence[str],
+    crawl_time: Column,
+    seq: int = 0,
+    key: str = "_id",
+    buckets: int | None = None,
+) -> int:
+    """Unwrap one crawl, roll it up per key and upsert it into the bucketed keyed store."""
+    from docflow.sinks.keyed_store import upsert_keyed
+
+    docs = crawl_documents(pages, doc_schema, crawl_time, seq)
+    rolled = roll_up(docs, key, fields, ["__t", "__seq", "page"], "__t")
+    return upsert_keyed(spark, root, rolled, key, fields, buckets)

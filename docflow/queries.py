@@ -15,13 +15,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from docflow.operators.decode import decode_column, parse
 from docflow.operators.flatten import attach_text, collect_concat, explode_elements, flatten_text
-from docflow.operators.upsert import apply_batches, merge, roll_up
+from docflow.operators.upsert import apply_batches, roll_up
 from docflow.plans.companies import companies_table
-from docflow.plans.ingest import ingest_crawls
 from docflow.plans.jobs import jobs_batch_table, jobs_table
 from docflow.schemas import COMPANY_SCHEMA, JOB_SCHEMA, JOBS_STREAM_COLUMNS
 from docflow.session import scratch_path
-from docflow.sinks.files import BATCH_COL, read_store, write_jsonl, write_store
+from docflow.sinks.files import BATCH_COL, write_jsonl
 from docflow.sources import driver_tables as dt
 from docflow.sources.collection import scan_collection
 from docflow.sources.feed import insert_feed
@@ -141,17 +140,19 @@ def q_page_unwrap(spark, sf_dir):
 
 
 def q_ingest_pages(spark, sf_dir):
-    """Two crawls into a versioned store: the second re-lists companies with a
+    """Two crawls into the bucketed keyed store: the second re-lists companies with a
     non-positive balance under a new name; latest crawl wins, first insert kept."""
+    from docflow.plans.ingest import ingest_crawl_into_store
+    from docflow.sinks.keyed_store import read_keyed
+
     customer = dt.read_table(spark, sf_dir, "customer")
     crawl1 = dt.api_pages(dt.company_api_docs(customer))
     crawl2 = dt.api_pages(dt.company_api_docs(customer.filter(F.col("c_acctbal") <= 0), rename_segment=True))
     fields = ["display_name", "company_size", "nationalities_str"]
     root = scratch_path(spark, "company_store")
-    for pages, t in ((crawl1, CRAWL_TIMES[0]), (crawl2, CRAWL_TIMES[1])):
-        store = read_store(spark, root)
-        write_store(spark, ingest_crawls([(pages, _ntz(t))], COMPANY_API_DOC, fields, store=store), root)
-    return read_store(spark, root).select("_id", *fields, "inserted_at", "updated_at")
+    for seq, (pages, t) in enumerate(((crawl1, CRAWL_TIMES[0]), (crawl2, CRAWL_TIMES[1]))):
+        ingest_crawl_into_store(spark, root, pages, COMPANY_API_DOC, fields, _ntz(t), seq)
+    return read_keyed(spark, root, "_id").select("_id", *fields, "inserted_at", "updated_at")
 
 
 # --------------------------------------------------------------------- upsert
@@ -165,11 +166,14 @@ def q_upsert_latest(spark, sf_dir):
 
 
 def q_upsert_incremental(spark, sf_dir):
-    state = None
+    """History applied in three arrival batches to the bucketed keyed store (U1 + K4)."""
+    from docflow.sinks.keyed_store import read_keyed, upsert_keyed
+
+    root = scratch_path(spark, "user_store")
     for part in _cut(dt.event_history(spark, sf_dir)):
         r = roll_up(part, "user_id", UPSERT_FIELDS, ["ts", "event_id"], "ts")
-        state = r if state is None else merge(state, r, "user_id", UPSERT_FIELDS)
-    return state
+        upsert_keyed(spark, root, r, "user_id", UPSERT_FIELDS)
+    return read_keyed(spark, root, "user_id").select("user_id", *UPSERT_FIELDS, "inserted_at", "updated_at")
 
 
 def q_upsert_fields(spark, sf_dir):
