@@ -120,3 +120,38 @@ def apply_batches(
     if state is None:
         raise ValueError("no batches")
     return state
+
+
+def roll_up_open(
+    df: DataFrame, key: str, doc_col: str, order_by: Sequence[str], time_col: str, out: str = "doc"
+) -> DataFrame:
+    """Field-level ``$set`` when the field names are open-ended: result is a ``map`` per key.
+
+    Every present entry (explicit nulls included) becomes a row; (key, field) picks
+    the latest value, which spreads even a hot key's work over all fields; the key
+    then gathers one entry per distinct field (bounded by document width, not by the
+    number of items). No session setting such as ``mapKeyDedupPolicy`` is needed.
+    """
+    order = _order(order_by)
+    times = df.groupBy(key).agg(F.min(time_col).alias(INSERTED), F.max(time_col).alias(UPDATED))
+    entries = df.select(F.col(key), order.alias("__o"), F.explode(F.col(doc_col)).alias("__f", "__v"))
+    latest = entries.groupBy(key, "__f").agg(F.max_by("__v", "__o").alias("__v"))
+    docs = latest.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__f", "__v"))).alias(out))
+    return times.join(docs, on=key, how="left").select(
+        key, F.coalesce(F.col(out), F.create_map().cast("map<string,string>")).alias(out), INSERTED, UPDATED
+    )
+
+
+def merge_open(target: DataFrame, delta: DataFrame, key: str, doc: str = "doc") -> DataFrame:
+    """Merge two open-field roll-ups: delta entries override, entries absent from it stay."""
+    j = _pair(target, delta, key, [doc, INSERTED, UPDATED])
+    t_doc = F.coalesce(F.col(f"t__{doc}"), F.create_map().cast("map<string,string>"))
+    d_doc = F.coalesce(F.col(f"d__{doc}"), F.create_map().cast("map<string,string>"))
+    kept = F.map_filter(t_doc, lambda k, v: ~F.map_contains_key(d_doc, k))
+    in_d = F.coalesce(F.col("d__in"), F.lit(False))
+    return j.select(
+        key,
+        F.map_concat(kept, d_doc).alias(doc),
+        F.coalesce(F.col(f"t__{INSERTED}"), F.col(f"d__{INSERTED}")).alias(INSERTED),
+        F.when(in_d, F.col(f"d__{UPDATED}")).otherwise(F.col(f"t__{UPDATED}")).alias(UPDATED),
+    )

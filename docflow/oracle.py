@@ -135,3 +135,4 @@ ORACLE: dict[str, str] = {
     "jsonl_sink": _JOBS_SQL,
 }
 ORACLE["inner_join_requirements"] = ORACLE["flatten_inner"]
+ORACLE["upsert_open_fields"] = ORACLE["upsert_fields"]

@@ -35,14 +35,19 @@ def shared_root(spark: SparkSession) -> str:
     do we pick a folder of our own; on a cluster an unset value is an error,
     because a machine-local folder is not visible to other executors.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context; the server owns the setting
+        sc = None
+    root = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if not root:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         root = tempfile.mkdtemp(prefix="docflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

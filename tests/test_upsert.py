@@ -63,3 +63,15 @@ def test_hot_key_aggregates_map_side(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan or "partial_max" in plan
     assert out.filter("k = 0").first().updated_at == 29997
+
+
+def test_open_fields_match_declared(spark):
+    from docflow.operators.upsert import merge_open, roll_up_open
+
+    h = _hist(spark)
+    full = roll_up_open(h, "_id", "m", ["t"], "t")
+    got = {r._id: (dict(r.doc), r.inserted_at, r.updated_at) for r in full.collect()}
+    assert got == {1: ({"a": None, "b": "y", "c": "z"}, 1, 3), 2: ({"a": "q"}, 1, 1)}
+    inc = merge_open(roll_up_open(h.filter("t < 2"), "_id", "m", ["t"], "t"),
+                     roll_up_open(h.filter("t >= 2"), "_id", "m", ["t"], "t"), "_id")
+    assert {r._id: (dict(r.doc), r.inserted_at, r.updated_at) for r in inc.collect()} == got
