@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from docflow.functions.columns import NEGOTIABLE_LABEL
 from docflow.operators.decode import decode_documents, parse
