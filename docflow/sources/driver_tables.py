@@ -30,17 +30,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --------------------------------------------------------------------- jobs ---
 
-def order_items(lineitem: DataFrame) -> DataFrame:
-    """Per order, its lineitems as (linenumber, returnflag, linestatus, n), sorted.
+def _null_of(df: DataFrame, col: Column) -> Column:
+    return F.lit(None).cast(df.select(col).schema[0].dataType)
+
+
+def orders_with_items(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Per order: its fields (struct `o`) and its lines as sorted (linenumber, returnflag,
+    linestatus, n) structs in `items` (NULL when it has none).
 
     Identical lines are counted first; that aggregate combines map-side, so an order
     holding a large share of all lines ships one row per distinct line, not per line.
+    Orders and counted lines then meet in one aggregation on the order key (a union,
+    not a join: one shuffle, no sort); each group is one order plus its distinct lines.
     """
     counted = lineitem.groupBy("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n")
     )
-    return counted.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_linestatus", "n"))).alias("items")
+    o = F.struct("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    i = F.struct("l_linenumber", "l_returnflag", "l_linestatus", "n")
+    both = orders.select(F.col("o_orderkey").alias("k"), o.alias("o"), _null_of(counted, i).alias("i")).unionByName(
+        counted.select(F.col("l_orderkey").alias("k"), _null_of(orders, o).alias("o"), i.alias("i"))
+    )
+    grouped = both.groupBy("k").agg(F.collect_list("o").alias("os"), F.collect_list("i").alias("is"))
+    return grouped.filter(F.size("os") > 0).select(
+        F.col("k").alias("o_orderkey"),
+        F.col("os")[0].alias("o"),
+        F.when(F.size("is") > 0, F.array_sort("is")).alias("items"),
     )
 
 
@@ -53,13 +68,8 @@ def job_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
-    items = order_items(
-        read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    )
-    # Shuffle join on the order key: `items` is already hash-partitioned by it (its
-    # aggregate), so only orders move, and the nesting below runs in every partition.
-    # A broadcast would put the whole per-document encode on the orders scan's tasks.
-    joined = orders.join(items.hint("shuffle_merge"), orders.o_orderkey == items.l_orderkey, "left")
+    lines = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    joined = orders_with_items(orders, lines).select("o_orderkey", "o.*", "items")
     millis = ts_to_epoch_millis("o_orderdate")
     req = _expand(
         F.col("items"),
