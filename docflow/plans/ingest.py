@@ -61,3 +61,26 @@ def ingest_crawl_into_store(
     docs = crawl_documents(pages, doc_schema, crawl_time, seq)
     rolled = roll_up(docs, key, fields, ["__t", "__seq", "page"], "__t")
     return upsert_keyed(spark, root, rolled, key, fields, buckets)
+
+
+def pages_batch_writer(
+    root: str,
+    doc_schema: StructType,
+    fields: Sequence[str],
+    time_col: str = "crawled_at",
+    key: str = "_id",
+    buckets: int | None = None,
+):
+    """foreachBatch function: landed pages (page, `time_col`, body) -> keyed store upsert.
+
+    Items are ordered by (crawl time, page) within the batch. Replaying a batch is
+    harmless: merging the same roll-up twice gives the same store contents.
+    """
+    from docflow.sinks.keyed_store import upsert_keyed
+
+    def fn(batch_df: DataFrame, batch_id: int) -> None:
+        docs = page_unwrap(batch_df, doc_schema, keep=("page", time_col))
+        rolled = roll_up(docs, key, fields, [time_col, "page"], time_col)
+        upsert_keyed(batch_df.sparkSession, root, rolled, key, fields, buckets)
+
+    return fn

@@ -283,3 +283,35 @@ def q_upsert_open_fields(spark, sf_dir):
 
 
 QUERIES["upsert_open_fields"] = q_upsert_open_fields
+
+
+def q_ingest_pages_stream(spark, sf_dir):
+    """Crawls landed as JSON-lines page files, streamed into the keyed store batch by batch."""
+    from pyspark.sql.types import IntegerType, TimestampNTZType
+
+    from docflow.plans.ingest import pages_batch_writer
+    from docflow.sinks.keyed_store import read_keyed
+    from docflow.sources.stream import stream_records
+
+    customer = dt.read_table(spark, sf_dir, "customer")
+    crawls = [
+        dt.api_pages(dt.company_api_docs(customer)),
+        dt.api_pages(dt.company_api_docs(customer.filter(F.col("c_acctbal") <= 0), rename_segment=True)),
+    ]
+    landing, root = scratch_path(spark, "pages_landing"), scratch_path(spark, "company_store_stream")
+    fields = ["display_name", "company_size", "nationalities_str"]
+    schema = StructType(
+        [StructField("page", IntegerType()), StructField("crawled_at", TimestampNTZType()), StructField("body", StringType())]
+    )
+    chk = scratch_path(spark, "pages_chk")
+    for i, (pages, t) in enumerate(zip(crawls, CRAWL_TIMES)):
+        pages.withColumn("crawled_at", _ntz(t)).write.mode("overwrite").json(f"{landing}/crawl={i}")
+        src = stream_records(spark, "json", schema, f"{landing}/*")
+        q = run_stream(src, pages_batch_writer(root, COMPANY_API_DOC, fields), chk, trigger={"availableNow": True})
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return read_keyed(spark, root, "_id").select("_id", *fields, "inserted_at", "updated_at")
+
+
+QUERIES["ingest_pages_stream"] = q_ingest_pages_stream

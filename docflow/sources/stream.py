@@ -43,3 +43,17 @@ def stream_documents(
         reader = reader.options(**dict(options))
     df = reader.load(path) if path is not None else reader.load()
     return df.select(F.col("value").cast("string").alias("value"))
+
+
+def stream_records(
+    spark: SparkSession,
+    fmt: str,
+    schema,
+    path: str,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A file stream of records with a fixed schema (e.g. landed API pages as JSON lines)."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if options:
+        reader = reader.options(**dict(options))
+    return reader.load(path)

@@ -73,3 +73,26 @@ def test_bucket_count_travels_with_store(spark):
     upsert_keyed(spark, root, r, "user_id", FIELDS, buckets=4)  # re-buckets
     assert versions(spark, root) == [(1, 8), (2, 8), (3, 4)]
     assert read_keyed(spark, root, "user_id").count() == r.count()
+
+
+def test_pages_writer_replay_is_harmless(spark):
+    import datetime as dt
+
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from docflow.plans.ingest import pages_batch_writer
+
+    doc = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    b0 = spark.createDataFrame(
+        [(1, t1, '{"data":[{"id":1,"name":"a"},{"id":2,"name":"b"}]}')], "page int, crawled_at timestamp_ntz, body string"
+    )
+    b1 = spark.createDataFrame([(1, t2, '{"data":[{"id":2,"name":"B"}]}')], "page int, crawled_at timestamp_ntz, body string")
+    root = scratch_path(spark, "t_pages_store")
+    fn = pages_batch_writer(root, doc, ["name"], buckets=4)
+    fn(b0, 0)
+    fn(b1, 1)
+    once = sorted(map(tuple, read_keyed(spark, root, "_id").collect()))
+    fn(b1, 1)  # replay of the last batch
+    assert sorted(map(tuple, read_keyed(spark, root, "_id").collect())) == once
+    assert [(r[0], r[1], r[2].day, r[3].day) for r in once] == [(1, "a", 1, 1), (2, "B", 1, 2)]
