@@ -137,3 +137,4 @@ ORACLE: dict[str, str] = {
 ORACLE["inner_join_requirements"] = ORACLE["flatten_inner"]
 ORACLE["upsert_open_fields"] = ORACLE["upsert_fields"]
 ORACLE["ingest_pages_stream"] = ORACLE["ingest_pages"]
+ORACLE["insert_feed_stream"] = ORACLE["insert_feed"]

@@ -20,7 +20,7 @@ from docflow.plans.companies import companies_table
 from docflow.plans.jobs import jobs_batch_table, jobs_table
 from docflow.schemas import COMPANY_SCHEMA, JOB_SCHEMA, JOBS_STREAM_COLUMNS
 from docflow.session import scratch_path
-from docflow.sinks.files import BATCH_COL, write_jsonl
+from docflow.sinks.files import BATCH_COL, JSON_TIME_OPTIONS, write_jsonl
 from docflow.sources import driver_tables as dt
 from docflow.sources.collection import scan_collection
 from docflow.sources.feed import insert_feed
@@ -122,7 +122,7 @@ def q_scan_collection(spark, sf_dir):
     """Collection landed as JSON files, scanned with the fixed schema, then projected in SQL."""
     path = scratch_path(spark, "companies_jsonl")
     write_jsonl(dt.company_documents(spark, sf_dir), path)
-    docs = scan_collection(spark, "json", path, schema=COMPANY_SCHEMA, view="companies_scan")
+    docs = scan_collection(spark, "json", path, schema=COMPANY_SCHEMA, options=JSON_TIME_OPTIONS, view="companies_scan")
     return companies_table(spark, docs, view="companies_scan")
 
 
@@ -224,7 +224,7 @@ def q_jsonl_sink(spark, sf_dir):
     path = scratch_path(spark, "jobs_jsonl")
     table = jobs_table(_job_docs(spark, sf_dir))
     write_jsonl(table, path)
-    return spark.read.schema(table.schema).json(path).select(*JOBS_STREAM_COLUMNS)
+    return spark.read.schema(table.schema).options(**JSON_TIME_OPTIONS).json(path).select(*JOBS_STREAM_COLUMNS)
 
 
 def q_jobs_batch(spark, sf_dir):
@@ -305,8 +305,8 @@ def q_ingest_pages_stream(spark, sf_dir):
     )
     chk = scratch_path(spark, "pages_chk")
     for i, (pages, t) in enumerate(zip(crawls, CRAWL_TIMES)):
-        pages.withColumn("crawled_at", _ntz(t)).write.mode("overwrite").json(f"{landing}/crawl={i}")
-        src = stream_records(spark, "json", schema, f"{landing}/*")
+        write_jsonl(pages.withColumn("crawled_at", _ntz(t)), f"{landing}/crawl={i}")
+        src = stream_records(spark, "json", schema, f"{landing}/*", options=JSON_TIME_OPTIONS)
         q = run_stream(src, pages_batch_writer(root, COMPANY_API_DOC, fields), chk, trigger={"availableNow": True})
         q.awaitTermination()
         if q.exception() is not None:
@@ -315,3 +315,27 @@ def q_ingest_pages_stream(spark, sf_dir):
 
 
 QUERIES["ingest_pages_stream"] = q_ingest_pages_stream
+
+
+def q_insert_feed_stream(spark, sf_dir):
+    """Change events landed as JSON lines, streamed through the insert-only feed."""
+    from docflow.sources.stream import stream_records
+
+    events = dt.change_events(spark, sf_dir)
+    landing, out = scratch_path(spark, "changes_landing"), scratch_path(spark, "feed_out")
+    write_jsonl(events, landing)
+    feed = insert_feed(stream_records(spark, "json", events.schema, landing, options=JSON_TIME_OPTIONS))
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        from docflow.sinks.files import write_batch
+
+        write_batch(batch_df.select("_id", "event_id", "event_type", "ts"), out, batch_id)
+
+    q = run_stream(feed, write, scratch_path(spark, "feed_chk"), trigger={"availableNow": True})
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).drop(BATCH_COL)
+
+
+QUERIES["insert_feed_stream"] = q_insert_feed_stream

@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 BATCH_COL = "batch_id"
 
+# JSON text keeps timestamps to the microsecond (Spark's default JSON format stops at
+# milliseconds). Use the same options when reading the files back.
+JSON_TIME_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_jsonl(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite `path` with JSON lines (UTF-8 kept, one part file per partition).
@@ -14,7 +21,7 @@ def write_jsonl(df: DataFrame, path: str, single_file: bool = False) -> None:
     `single_file` coalesces to one partition; only for small outputs.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").json(path)
+    out.write.mode("overwrite").options(**JSON_TIME_OPTIONS).json(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:

@@ -103,3 +103,16 @@ def test_connector_option_builders(spark):
         pass
     else:
         raise AssertionError("bad mode accepted")
+
+
+def test_jsonl_keeps_microseconds(spark):
+    import datetime as dt
+
+    from docflow.sinks.files import JSON_TIME_OPTIONS
+
+    path = scratch_path(spark, "t_jsonl_us")
+    ts = dt.datetime(2024, 1, 1, 3, 30, 4, 729045)
+    df = spark.createDataFrame([(1, ts)], "id int, t timestamp_ntz")
+    write_jsonl(df, path)
+    back = spark.read.schema(df.schema).options(**JSON_TIME_OPTIONS).json(path).collect()
+    assert back[0].t == ts
