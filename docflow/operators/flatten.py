@@ -79,6 +79,10 @@ def collect_concat(
     partial string (spread over many tasks), then the key merges its partial strings
     in bucket order. Sorting by position makes the result deterministic, which a bare
     ``collect_list`` is not once the hash aggregate falls back to sort-based mode.
+
+    The last level holds ceil(n / bucket) partial strings for a key with n elements;
+    its input is no larger than the one output value that key must produce anyway
+    (a single string, at most 2 GB), so it stays bounded by the result, not the input.
     """
     b = F.floor(F.col(pos) / F.lit(bucket)).alias("__b")
     partial = df.groupBy(F.col(key), b).agg(
