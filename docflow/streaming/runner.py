@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from docflow.operators.decode import parse, split_parsed
+from docflow.operators.decode import as_text, parse, split_parsed
 from docflow.sinks.files import write_batch
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -52,7 +52,8 @@ def decode_to_files(
     """
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch_df, schema, "value", keep_raw=True, key=key).persist(StorageLevel.MEMORY_AND_DISK)
+        text = as_text(batch_df, "value")  # a raw Kafka frame carries `value` as BINARY
+        parsed = parse(text, schema, "value", keep_raw=True, key=key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, quarantine = split_parsed(parsed, key)
             write_batch(transform(valid), out_path, batch_id, fmt)

@@ -116,3 +116,13 @@ def test_jsonl_keeps_microseconds(spark):
     write_jsonl(df, path)
     back = spark.read.schema(df.schema).options(**JSON_TIME_OPTIONS).json(path).collect()
     assert back[0].t == ts
+
+
+def test_batch_function_accepts_binary_value(spark):
+    base = scratch_path(spark, "t_binary")
+    fn = decode_to_files(JOB_SCHEMA, jobs_table, f"{base}/out", f"{base}/bad")
+    kafka_like = spark.createDataFrame(
+        [(b"k", bytearray(DOC1.encode()), "topic", 0, 0)], "key binary, value binary, topic string, partition int, offset long"
+    )
+    fn(kafka_like, 0)
+    assert [r.id for r in spark.read.parquet(f"{base}/out").collect()] == [1]
