@@ -7,7 +7,7 @@ Column names and types match the Spark output.
 
 from __future__ import annotations
 
-LABEL = "Thương lượng"
+from docflow.functions.columns import NEGOTIABLE_LABEL as LABEL
 
 _REQ = """
     SELECT l_orderkey,
