@@ -46,13 +46,19 @@ def jdbc_batch_writer(
     properties: Mapping[str, str] | None = None,
     num_partitions: int | None = None,
     batchsize: int | None = None,
+    read_options: Mapping[str, str] | None = None,
 ):
-    """foreachBatch function: guarded, idempotent JDBC append (single writer per table)."""
+    """foreachBatch function: guarded, idempotent JDBC append (single writer per table).
+
+    The guard reads the target's key column each batch; for a large target pass
+    `read_options` (``partitionColumn``, ``lowerBound``, ``upperBound``,
+    ``numPartitions``) so that scan runs in parallel.
+    """
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-        for k, v in (properties or {}).items():
+        for k, v in {**(properties or {}), **(read_options or {})}.items():
             reader = reader.option(k, v)
         target_keys = reader.load().select(key)
         delta = guarded_delta(spark, batch_df, target_keys, key, order_by)
