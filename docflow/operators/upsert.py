@@ -17,7 +17,7 @@ no key can fan out or skew, and when the stored side is bucketed by the key
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,19 +109,52 @@ def merge_fields(target: DataFrame, delta: DataFrame, key: str, fields: Sequence
     return j.select(*out)
 
 
-def apply_batches(
-    batches: Sequence[DataFrame], key: str, doc_col: str, fields: Sequence[str], order_by: Sequence[str], time_col: str
+def fold_batches(
+    batches: Sequence[DataFrame],
+    roll: Callable[[DataFrame], DataFrame],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    checkpoint_every: int = 4,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Roll up each batch, then fold the merges in batch order."""
-    state = None
-    for b in batches:
-        r = roll_up_fields(b, key, doc_col, fields, order_by, time_col)
-        state = r if state is None else merge_fields(state, r, key, fields)
+    """Roll up each batch, then merge in batch order (onto `initial`, a stored roll-up).
+
+    Every `checkpoint_every` merges the state is written with a reliable
+    ``checkpoint()`` (into ``spark.checkpoint.dir``): the plan stops growing with the
+    number of batches and a lost executor recomputes from the last checkpoint, not
+    from the first batch.
+    """
+    state = initial
+    for i, b in enumerate(batches):
+        r = roll(b)
+        state = r if state is None else combine(state, r)
+        if checkpoint_every and i and i % checkpoint_every == 0:
+            from docflow.session import shared_root
+
+            shared_root(state.sparkSession)
+            state = state.checkpoint(eager=True)
     if state is None:
         raise ValueError("no batches")
     return state
 
 
+def apply_batches(
+    batches: Sequence[DataFrame],
+    key: str,
+    doc_col: str,
+    fields: Sequence[str],
+    order_by: Sequence[str],
+    time_col: str,
+    checkpoint_every: int = 4,
+) -> DataFrame:
+    """Field-level roll-up of each batch, merged in batch order."""
+    return fold_batches(
+        batches,
+        lambda b: roll_up_fields(b, key, doc_col, fields, order_by, time_col),
+        lambda t, d: merge_fields(t, d, key, fields),
+        checkpoint_every,
+    )
+
+
 def roll_up_open(
     df: DataFrame, key: str, doc_col: str, order_by: Sequence[str], time_col: str, out: str = "doc"
 ) -> DataFrame:

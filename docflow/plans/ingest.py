@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docflow.operators.upsert import merge, roll_up
+from docflow.operators.upsert import fold_batches, merge, roll_up
 from docflow.sources.pages import page_unwrap
 
 
@@ -34,14 +34,15 @@ def ingest_crawls(
 
     Within a crawl, when the same id appears on two pages, the later page wins.
     """
-    state = store
-    for i, (pages, t) in enumerate(crawls):
-        docs = crawl_documents(pages, doc_schema, t, i)
-        rolled = roll_up(docs, key, fields, ["__t", "__seq", "page"], "__t")
-        state = rolled if state is None else merge(state, rolled, key, fields)
-    if state is None:
-        raise ValueError("no crawls")
-    return state
+    from docflow.operators.upsert import fold_batches
+
+    docs = [crawl_documents(pages, doc_schema, t, i) for i, (pages, t) in enumerate(crawls)]
+    return fold_batches(
+        docs,
+        lambda d: roll_up(d, key, fields, ["__t", "__seq", "page"], "__t"),
+        lambda t, d: merge(t, d, key, fields),
+        initial=store,
+    )
 
 
 def ingest_crawl_into_store(

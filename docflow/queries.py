@@ -272,11 +272,14 @@ def q_upsert_open_fields(spark, sf_dir):
     """Field-level upsert without a declared field list: map roll-ups merged per batch."""
     from docflow.operators.upsert import merge_open, roll_up_open
 
+    from docflow.operators.upsert import fold_batches
+
     upd = dt.field_updates(spark, sf_dir).withColumn("m", F.from_json("doc", "map<string,string>"))
-    state = None
-    for part in _cut(upd):
-        r = roll_up_open(part, "user_id", "m", ["ts", "event_id"], "ts")
-        state = r if state is None else merge_open(state, r, "user_id")
+    state = fold_batches(
+        _cut(upd),
+        lambda b: roll_up_open(b, "user_id", "m", ["ts", "event_id"], "ts"),
+        lambda t, d: merge_open(t, d, "user_id"),
+    )
     return state.select(
         "user_id", *[F.col("doc").getItem(f).cast("long").alias(f) for f in EVENT_FIELDS], "inserted_at", "updated_at"
     )

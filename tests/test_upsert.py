@@ -75,3 +75,15 @@ def test_open_fields_match_declared(spark):
     inc = merge_open(roll_up_open(h.filter("t < 2"), "_id", "m", ["t"], "t"),
                      roll_up_open(h.filter("t >= 2"), "_id", "m", ["t"], "t"), "_id")
     assert {r._id: (dict(r.doc), r.inserted_at, r.updated_at) for r in inc.collect()} == got
+
+
+def test_fold_checkpoints_long_histories(spark):
+    """Ten batches with a checkpoint every 3 merges equal the one-shot roll-up."""
+    rows = [(k % 7, t, f"v{t}") for t, k in enumerate(range(200))]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    from docflow.operators.upsert import fold_batches
+
+    batches = [df.filter((F.col("t") >= i * 20) & (F.col("t") < (i + 1) * 20)) for i in range(10)]
+    inc = fold_batches(batches, lambda b: roll_up(b, "k", ["v"], ["t"], "t"), lambda a, b: merge(a, b, "k", ["v"]), 3)
+    full = roll_up(df, "k", ["v"], ["t"], "t")
+    assert sorted(map(tuple, inc.select(full.columns).collect())) == sorted(map(tuple, full.collect()))
