@@ -34,8 +34,6 @@ def ingest_crawls(
 
     Within a crawl, when the same id appears on two pages, the later page wins.
     """
-    from docflow.operators.upsert import fold_batches
-
     docs = [crawl_documents(pages, doc_schema, t, i) for i, (pages, t) in enumerate(crawls)]
     return fold_batches(
         docs,
