@@ -160,18 +160,27 @@ def roll_up_open(
 ) -> DataFrame:
     """Field-level ``$set`` when the field names are open-ended: result is a ``map`` per key.
 
-    Every present entry (explicit nulls included) becomes a row; (key, field) picks
-    the latest value, which spreads even a hot key's work over all fields; the key
-    then gathers one entry per distinct field (bounded by document width, not by the
-    number of items). No session setting such as ``mapKeyDedupPolicy`` is needed.
+    One pass over the input: every present entry (explicit nulls included) becomes a
+    row; (key, field) picks the latest value and the field's first/last times, which
+    spreads even a hot key's work over its fields; the key then gathers one entry per
+    distinct field (bounded by document width, not by the number of items) and the
+    overall first/last times. ``explode_outer`` keeps items with empty documents for
+    the times and, unlike ``explode``, lets no size filter be pushed below the decode.
+    No session setting such as ``mapKeyDedupPolicy`` is needed.
     """
     order = _order(order_by)
-    times = df.groupBy(key).agg(F.min(time_col).alias(INSERTED), F.max(time_col).alias(UPDATED))
-    entries = df.select(F.col(key), order.alias("__o"), F.explode(F.col(doc_col)).alias("__f", "__v"))
-    latest = entries.groupBy(key, "__f").agg(F.max_by("__v", "__o").alias("__v"))
-    docs = latest.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("__f", "__v"))).alias(out))
-    return times.join(docs, on=key, how="left").select(
-        key, F.coalesce(F.col(out), F.create_map().cast("map<string,string>")).alias(out), INSERTED, UPDATED
+    e = df.select(
+        F.col(key), order.alias("__o"), F.col(time_col).alias("__t"),
+        F.explode_outer(F.col(doc_col)).alias("__f", "__v"),
+    )
+    per_field = e.groupBy(key, "__f").agg(
+        F.max_by("__v", "__o").alias("__v"), F.min("__t").alias("__t0"), F.max("__t").alias("__t1")
+    )
+    entry = F.when(F.col("__f").isNotNull(), F.struct("__f", "__v"))
+    return per_field.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(entry)).alias(out),
+        F.min("__t0").alias(INSERTED),
+        F.max("__t1").alias(UPDATED),
     )
 
 
