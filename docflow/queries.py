@@ -55,7 +55,8 @@ def _job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cut(df: DataFrame, ts: str = "ts") -> list[DataFrame]:
-    """Split a history into consecutive time ranges (every row in exactly one)."""
+    """Split a history into consecutive time ranges (every row in exactly one; a NULL
+    time goes with the first range)."""
     t = F.col(ts)
     bounds = [None, *[_ntz(c) for c in CUTS], None]
     out = []
@@ -65,6 +66,8 @@ def _cut(df: DataFrame, ts: str = "ts") -> list[DataFrame]:
             cond = cond & (t >= lo)
         if hi is not None:
             cond = cond & (t < hi)
+        if lo is None:
+            cond = cond | t.isNull()
         out.append(df.filter(cond))
     return out
 
