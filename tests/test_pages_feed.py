@@ -52,3 +52,10 @@ def test_insert_feed(spark):
     assert sorted(map(tuple, insert_feed(ev).collect())) == [(1, "a"), (2, "b")]
     more = insert_feed(ev, operations=("insert", "update", "delete"))
     assert sorted(map(tuple, more.collect())) == [(1, "a"), (1, "a2"), (2, "b")]
+
+
+def test_last_page_meta(spark):
+    from docflow.sources.pages import last_page
+
+    pages = _pages(spark, [(1, '{"data":[],"meta":{"last_page":3}}'), (2, '{"data":[]}')])
+    assert [r.last_page for r in last_page(pages).collect()] == [3, None]
