@@ -39,7 +39,7 @@ BITS = 20
 MAX_POSITIVES = 6000
 MAX_UNLABELLED = 12000
 MIN_POSITIVES = 3  # documents a feature must occur in
-MIN_LIFT = 2.0  # lower bound of how much more often in positives than in unlabelled text
+MIN_LIFT = 2.5  # lower bound of how much more often in positives than in unlabelled text
 
 
 def _windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +94,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list[tuple[bool, np.ndarray]], features: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-4
+    rows: list[tuple[bool, np.ndarray]], features: np.ndarray, prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-5
 ) -> Linear:
     """Non-negative risk over (is positive, positions in ``features``) rows, by full-batch Adam from zero weights."""
     n = len(features)
@@ -121,14 +121,15 @@ def train(
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        theta[:n] = np.maximum(theta[:n], 0.0)  # every feature was chosen as evidence for toxicity
     return Linear(features, theta[:n], float(theta[n]))
 
 
 def select_features(counts: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
-    """Features whose share in positives, less two standard errors, is MIN_LIFT times that in unlabelled text (at most 2**BITS numbers)."""
+    """Features whose share in positives, less one standard error, is MIN_LIFT times that in unlabelled text (at most 2**BITS numbers)."""
     p = F.col("positives") / F.lit(float(max(positives, 1)))
     u = (F.col("unlabelled") + F.lit(1.0)) / F.lit(float(unlabelled + 1))
-    low = p - F.lit(2.0) * F.sqrt(p / F.lit(float(max(positives, 1))))
+    low = p - F.sqrt(p / F.lit(float(max(positives, 1))))
     chosen = counts.filter((F.col("positives") >= MIN_POSITIVES) & (low >= F.lit(MIN_LIFT) * u)).select("feature")
     return np.sort(np.array([r[0] for r in chosen.collect()], dtype=np.int64))
 
