@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +30,44 @@ def on_cluster_disk(df: DataFrame) -> DataFrame:
 
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Sorted batches cut so that no group crosses a border: (rows, edges of the groups among them).
+
+    Groups are runs of equal values in the first ``keys`` columns (whole numbers). What is
+    held back is one group, so the caller must bound their size.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and all(held[-1].column(k)[-1] == batch.column(k)[0] for k in range(keys)):
+            start = 0
+        elif held:
+            yield _joined(held), np.array([0, sum(b.num_rows for b in held)])
+            held, start = [], 0
+        else:
+            start = 0
+        change = np.zeros(batch.num_rows - 1, dtype=bool)
+        for k in range(keys):
+            change |= np.diff(batch.column(k).to_numpy(zero_copy_only=False)) != 0
+        edges = np.flatnonzero(change) + 1
+        if not len(edges):
+            held.append(batch)
+            continue
+        if held:
+            rows = _joined([*held, batch.slice(0, edges[0])])
+            yield rows, np.array([0, rows.num_rows])
+            start, edges = edges[0], edges[1:]
+        if len(edges):
+            yield batch.slice(start, edges[-1] - start), np.r_[0, edges - start]
+            start = edges[-1]
+        held = [batch.slice(start)]
+    if held:
+        rows = _joined(held)
+        yield rows, np.array([0, rows.num_rows])
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
