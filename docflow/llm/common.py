@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to every executor, once for each Spark context (a few dozen small files)."""
+    context = spark.sparkContext
+    if any(f.rpartition("/")[2].startswith("docflow-") for f in context.listFiles):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="docflow-")) / f"docflow-{uuid.uuid4().hex[:8]}.zip"  # served by the driver
+    with zipfile.ZipFile(target, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_table(spark, sf_dir, "documents")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -46,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = max(2 * n, 1 << 16)
         _powers.clear()
         for base in (_BASE, _BASE_INV):
             steps = np.full(size, base & _MASK, dtype=np.uint64)
