@@ -236,12 +236,13 @@ def item_blocks(benchmark: DataFrame, width: int = WINDOW, limit: int = ITEM_BYT
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, keep_text: bool = False) -> DataFrame:
     """One row for each document: n_words, n_hit, n_items, items_sha256, contaminated.
 
-    With ``keep_text`` the input's columns come first, ``text`` without the merged spans of hit words.
+    With ``keep_text`` the input's columns come first (but for those of the new names), ``text`` without
+    the merged spans of hit words.
     """
     shared = item_blocks(benchmark, width)
-    source = docs if keep_text else docs.select("doc_id", "text")
-    at = source.columns.index("text")
     new = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType()), StructField("contaminated", BooleanType())]
+    source = docs.drop(*[f.name for f in new]) if keep_text else docs.select("doc_id", "text")
+    at = source.columns.index("text")
     kept = [f for f in source.schema.fields if keep_text or f.name == "doc_id"]
     schema = StructType([*kept, *new])
 
