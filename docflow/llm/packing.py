@@ -36,7 +36,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_SEQUENCES = 2048
 GROUP_ROWS = 1 << 17
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 CACHED_CHARS = 64
 #: A word of letters whose case and class no Unicode version changes, and punctuation behind it.
 LATIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{1,48})([.,;:!?#$%&*|()]{0,16})").fullmatch
@@ -47,7 +47,7 @@ class WordIds:
 
     The tokenizer drops white space and never merges across it, so a text's ids are the ids of
     its words in order. It also splits a Latin word from punctuation behind it and ignores case,
-    so only bare words reach it, each once while it is cached; a full cache drops its older half.
+    so only bare words reach it, each once while it is cached; a full cache drops its oldest third.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -55,7 +55,8 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {"": b""}  # the empty word comes first and stays
+        self._in_use: set[str] = set()
         self.mark = struct.unpack("<I", self._ids(["0"])[0])[0]
 
     def _ids(self, words: list[str]) -> list[bytes]:
@@ -73,37 +74,42 @@ class WordIds:
                 lo = hi + 1
         return out
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not cached; they are cached now, unless very long."""
+    def _learn(self, words: set[str]) -> list[str]:
+        """Cache the ids of new words; returns the very long ones, which the caller drops again."""
+        if len(self.cache) > CACHED_WORDS:
+            old = itertools.islice(self.cache, 1, len(self.cache) // 3)
+            for w in list(old):
+                del self.cache[w]
+            words = words | (self._in_use - self.cache.keys())
         cache = self.cache
-        if len(cache) > CACHED_WORDS:
-            cache = self.cache = {"": b""} | dict(itertools.islice(cache.items(), len(cache) // 2, None))
-        latin = {}
+        latin = []
         whole = []
         for w in words:
             m = LATIN_WORD(w)
             if m is None:
                 whole.append(w)
             else:
-                latin[w] = (m[1].lower(), m[2])
-        bare = [w for w in dict.fromkeys(stem for stem, _ in latin.values()) if w not in cache]
+                stem, tail = m.groups()
+                latin.append((w, stem.lower(), tail))
+        bare = list({stem for _, stem, _ in latin}.difference(cache))
         cache.update(zip(bare, self._bare_ids(bare)))
-        tails = [t for t in dict.fromkeys(tail for _, tail in latin.values()) if t not in cache]
+        tails = list({tail for _, _, tail in latin}.difference(cache))
         cache.update(zip(tails, self._ids(tails)))
-        fresh = dict(zip(whole, self._ids(whole)))
-        for w, (stem, tail) in latin.items():
-            fresh[w] = cache[stem] + cache[tail]
-        cache.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHED_CHARS)
-        return fresh
+        cache.update(zip(whole, self._ids(whole)))
+        for w, stem, tail in latin:
+            cache[w] = cache[stem] + cache[tail]
+        return [w for w in whole if len(w) > CACHED_CHARS]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.cache.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
-        if missing:
-            fresh = self._learn(missing)
-            found = [[i if i is not None else fresh[w] for w, i in zip(words, ids)] if None in ids else ids for words, ids in zip(split, found)]
-        return [b"".join(ids) for ids in found]
+        self._in_use = set(itertools.chain.from_iterable(split))
+        missing = self._in_use.difference(self.cache)
+        long = self._learn(missing) if missing else []
+        ids = self.cache.__getitem__
+        out = [b"".join(map(ids, words)) for words in split]
+        for w in long:
+            del self.cache[w]
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer_json: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
