@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.llm import decontaminate, neardup, packing, pii, toxicity
-from docflow.llm.common import read_documents, read_table, ship_package
+from docflow.llm.common import mark_members, on_cluster_disk, read_documents, read_table, ship_package
 from docflow.session import scratch_path
 
 #: Score from which a document counts as toxic.
@@ -37,11 +37,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows that share the kept doc_id one stays; rows without a doc_id have no group and stay.
     """
     ship_package(spark)
-    judged = neardup.near_duplicates(docs, width=5, percent=80)
-    ids = judged.filter("kept").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    once = docs.join(ids.filter("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(ids.filter("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(several).unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    judged = neardup.near_duplicates(docs, width=5, percent=80).filter(F.col("doc_id").isNotNull())
+    ids = on_cluster_disk(judged.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max("kept").alias("kept")))
+    touched = ids.filter("not kept or rows > 1")
+    # most documents have no copy: a filter of fixed size lets them pass, and only the others are shuffled
+    marked = mark_members(docs, "doc_id", touched.select("doc_id"), "__touched")
+    doubtful = marked.filter("__touched").drop("__touched").join(ids.filter("kept").select("doc_id", F.col("rows").alias("__rows")), "doc_id")
+    once = doubtful.filter("__rows = 1").select(*docs.columns)
+    several = doubtful.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    return marked.filter("not __touched").select(*docs.columns).unionByName(once).unionByName(several)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

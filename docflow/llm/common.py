@@ -89,3 +89,22 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+#: Bits of a membership filter: 2**18 words of 64 bits at most, whatever the number of ids.
+FILTER_BITS = 24
+
+
+def mark_members(df: DataFrame, key: str, ids: DataFrame, out: str) -> DataFrame:
+    """``df`` with a boolean ``out``: false only if ``key`` is surely not among the ids (one column of that name).
+
+    A bit table of fixed size, built by an aggregate and broadcast, so rows that a join would
+    drop need no shuffle. With very many ids it lets more rows through, and the exact join behind it does the work.
+    """
+    slot = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << FILTER_BITS))
+    word = F.shiftright(slot, 6).cast("int").alias("__word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    table = ids.filter(F.col(key).isNotNull()).select(word, bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    marked = df.withColumn("__word", word).join(F.broadcast(table), "__word", "left")
+    hit = F.col(key).isNotNull() & (F.coalesce(F.col("__bits"), F.lit(0)).bitwiseAND(bit) != 0)
+    return marked.select(*df.columns, hit.alias(out))

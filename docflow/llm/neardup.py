@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from docflow.llm.common import on_cluster_disk, read_documents, whole_groups
+from docflow.llm.common import mark_members, on_cluster_disk, read_documents, whole_groups
 from docflow.llm.components import components
 from docflow.llm.embeddings import roots
 from docflow.llm.textwords import NON_SPACE, grams, mix, text_blocks, words_of
@@ -299,7 +299,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = on_cluster_disk(across_families(members, family, least))
     text = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     wanted = family.select("node").unionByName(pairs.select(F.col("a").alias("node"))).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = on_cluster_disk(text.join(wanted, "node", "left_semi"))
+    wanted = on_cluster_disk(wanted)
+    near = mark_members(text, "node", wanted, "__wanted").filter("__wanted").drop("__wanted")
+    texts = on_cluster_disk(near.join(wanted, "node", "left_semi"))
     links = links_in_families(texts, family, width, percent).unionByName(confirmed(pairs, texts, width, percent))
     shared_ids = usable.select("doc_id", "key", "key2").join(reps.select("key", "key2", "node"), ["key", "key2"])
     copies = shared_ids.select(F.col("node").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
