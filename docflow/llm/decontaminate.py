@@ -32,7 +32,7 @@ from docflow.llm.common import read_documents, read_table
 from docflow.llm.textwords import ALNUM, hash_text, text_blocks, words_of
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 ITEM_BYTES = 16 << 20
 SAMPLE = 16
 

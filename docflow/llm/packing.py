@@ -36,7 +36,7 @@ MAX_TOKENS = 4096
 END_ID = 1
 GROUP_SEQUENCES = 2048
 GROUP_ROWS = 1 << 17
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 600_000
 CACHED_CHARS = 64
 #: A word of letters whose case and class no Unicode version changes, and punctuation behind it.
 LATIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{1,48})([.,;:!?#$%&*|()]{0,16})").fullmatch
