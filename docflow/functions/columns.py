@@ -29,8 +29,9 @@ def first_of(arr: Column | str) -> Column:
 
 
 def try_int(col: Column | str) -> Column:
-    """String -> INT, NULL when the text is not an integer (``cast`` throws under ANSI)."""
-    return _c(col).try_cast("int")
+    """String -> INT as Spark 3.5 casts it: a plain decimal gives its whole part, other text NULL (``cast`` throws under ANSI)."""
+    whole = F.regexp_extract(F.trim(_c(col).cast("string")), r"^([+-]?[0-9]+)\.[0-9]*$", 1)
+    return F.coalesce(_c(col).try_cast("int"), whole.try_cast("int"))
 
 
 def negotiable_label(flag: Column | str, value: Column | str, label: str = NEGOTIABLE_LABEL) -> Column:

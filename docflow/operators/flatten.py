@@ -83,13 +83,18 @@ def collect_concat(
     The last level holds ceil(n / bucket) partial strings for a key with n elements;
     its input is no larger than the one output value that key must produce anyway
     (a single string, at most 2 GB), so it stays bounded by the result, not the input.
+
+    NULL values are skipped; a key with NULL values only gives ''. Rows with a NULL key have
+    no document to go back to and are left out before the grouping.
     """
     b = F.floor(F.col(pos) / F.lit(bucket)).alias("__b")
-    partial = df.groupBy(F.col(key), b).agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(value)))), lambda x: x.getField(value)),
-            sep,
-        ).alias("__part")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(value)))), lambda x: x.getField(value))
+    present = F.filter(ordered, lambda v: v.isNotNull())
+    # a fold of NULLs only is NULL, which the next level skips: the text does not depend on `bucket`
+    partial = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(F.col(key), b)
+        .agg(F.when(F.size(present) > 0, F.array_join(present, sep)).alias("__part"))
     )
     return partial.groupBy(key).agg(
         F.array_join(

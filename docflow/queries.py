@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from docflow.operators.decode import decode_column, parse
+from docflow.operators.decode import decode_column, decode_documents
 from docflow.operators.flatten import attach_text, collect_concat, explode_elements, flatten_text
 from docflow.operators.upsert import apply_batches, roll_up
 from docflow.plans.companies import companies_table
@@ -51,7 +51,8 @@ def _ntz(s: str):
 
 def _job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job documents in wire form, decoded with the fixed schema."""
-    return parse(dt.job_json(spark, sf_dir), JOB_SCHEMA)
+    docs, _ = decode_documents(dt.job_json(spark, sf_dir), JOB_SCHEMA)
+    return docs
 
 
 def _cut(df: DataFrame, ts: str = "ts") -> list[DataFrame]:
@@ -214,12 +215,12 @@ def q_jobs_stream(spark, sf_dir):
 
 def q_stream_documents(spark, sf_dir):
     landed = _land_as_text(spark, dt.job_json(spark, sf_dir), "docs_landed")
-    out = scratch_path(spark, "docs_out")
+    out, bad = scratch_path(spark, "docs_out"), scratch_path(spark, "docs_quarantine")
 
     def project(docs: DataFrame) -> DataFrame:
         return docs.select(F.col("_id").alias("id"), "title", "content", "owned_id", F.col("detail_url").alias("url"))
 
-    _drain(spark, landed, decode_to_files(JOB_SCHEMA, project, out), "docs")
+    _drain(spark, landed, decode_to_files(JOB_SCHEMA, project, out, bad), "docs")
     return spark.read.parquet(out).drop(BATCH_COL)
 
 

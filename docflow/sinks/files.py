@@ -25,19 +25,12 @@ def write_jsonl(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Idempotent micro-batch write: replace exactly the `batch_id=N` partition.
+    """Idempotent micro-batch write: replace exactly the folder `batch_id=N`.
 
-    Dynamic partition overwrite stages files and swaps the partition at job commit,
-    so replaying batch N (after a failure before the stream's commit) leaves one copy.
+    A replay of batch N (after a failure before the stream's commit) leaves one copy; a replay
+    that is empty now leaves no row of the first try.
     """
-    (
-        df.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_COL)
-        .format(fmt)
-        .save(path)
-    )
+    df.drop(BATCH_COL).write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}")
 
 
 def _fs(spark: SparkSession, path: str):

@@ -39,6 +39,19 @@ def versions(spark: SparkSession, root: str) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _refuse_unmarked(spark: SparkSession, root: str) -> None:
+    """Raise if a version folder holds data but no _SUCCESS marker (committer markers off, or a foreign copy):
+    writing on would replace that data by the delta. A failed try leaves only _temporary and may be replaced."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        if st.isDirectory() and _VERSION.match(st.getPath().getName()):
+            names = {f.getPath().getName() for f in fs.listStatus(st.getPath())}
+            if "_SUCCESS" not in names and any(n.startswith("part-") for n in names):
+                raise RuntimeError(f"{st.getPath()} holds data without _SUCCESS; the store needs the committer's success markers")
+
+
 def _path(root: str, version: int, buckets: int) -> str:
     return f"{root.rstrip('/')}/v={version}_b={buckets}"
 
@@ -53,7 +66,8 @@ def _register(spark: SparkSession, root: str, version: int, buckets: int, key: s
     if not spark.catalog.tableExists(name):
         path = _path(root, version, buckets)
         schema = spark.read.parquet(path).schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        cols = schema.toDDL()  # quotes nested names such as $date
+        path = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
             f"INTO {buckets} BUCKETS LOCATION '{path}'"
@@ -84,8 +98,10 @@ def upsert_keyed(
     Writes the next version and returns its number. `buckets`: None keeps the store's
     count (a new store takes ``spark.sql.shuffle.partitions``, so the delta's shuffle
     already matches); a different count re-buckets, which shuffles the stored side once.
-    `presence` selects field-level ``$set`` merging.
+    `presence` selects field-level ``$set`` merging. One writer at a time: two upserts at once
+    would compute the same next version.
     """
+    _refuse_unmarked(spark, root)
     vs = versions(spark, root)
     if buckets is None:
         buckets = vs[-1][1] if vs else int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -54,8 +54,8 @@ def orders_with_items(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     grouped = both.groupBy("k").agg(F.collect_list("o").alias("os"), F.collect_list("i").alias("is"))
     return grouped.filter(F.size("os") > 0).select(
         F.col("k").alias("o_orderkey"),
-        F.col("os")[0].alias("o"),
-        F.when(F.size("is") > 0, F.array_sort("is")).alias("items"),
+        F.explode("os").alias("o"),  # orders that share a key stay apart, each with the key's lines
+        F.when(F.col("k").isNotNull() & (F.size("is") > 0), F.array_sort("is")).alias("items"),
     )
 
 

@@ -40,7 +40,7 @@ def decode_to_files(
     schema: StructType,
     transform: Callable[[DataFrame], DataFrame],
     out_path: str,
-    quarantine_path: str | None = None,
+    quarantine_path: str,
     key: str = "_id",
     fmt: str = "parquet",
 ) -> BatchFn:
@@ -57,8 +57,7 @@ def decode_to_files(
         try:
             valid, quarantine = split_parsed(parsed, key)
             write_batch(transform(valid), out_path, batch_id, fmt)
-            if quarantine_path is not None:
-                write_batch(quarantine, quarantine_path, batch_id, fmt)
+            write_batch(quarantine, quarantine_path, batch_id, fmt)
         finally:
             parsed.unpersist()
 
