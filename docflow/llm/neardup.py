@@ -10,9 +10,10 @@ regions; no region goes deeper, so a pair just at the threshold is missed with p
 Crowded regions are not compared pair by pair. A region elects its most typical member, the one
 whose sketch agrees most with the region's majority, through blocks of bounded size; a member's
 best elected neighbour over all trees names its family. Texts are then compared within families,
-in pairs of blocks, on full sets. Pairs of a region that are in different families and whose
-sketches may reach the threshold are listed and confirmed on full sets too. So every candidate
-is settled, and only links that join the parts of a block leave it.
+in pairs of blocks, on full sets. Of two members of a region that are in different families and
+whose sketches may reach the threshold, the one of the smaller family becomes a guest of the
+other's, and guests are compared with the whole family in blocks too. So every candidate is
+settled, and only links that join the parts of a block leave it.
 
 Defined results: a null text, and one without words, has an empty set, links with nothing and is
 kept; a text with fewer words than a shingle is one shingle; rows that repeat are copies; rows
@@ -176,20 +177,23 @@ def families(members: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
 
 
 def across_families(members: DataFrame, family: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of a region whose members are in different families and whose sketches may reach the threshold.
+    """(home, node): nodes of a region whose sketches may reach the threshold with a member of another family.
 
-    In a region of several blocks the rows outside its largest family meet all rows, block by block.
+    Of two families the larger is the home and the other's node its guest, so a crowd of copies
+    gives a row for each guest and none for each pair. In a region of several blocks the rows
+    outside its largest family meet all rows, block by block.
     """
-    rows = members.join(family, "node", "left").withColumn("family", F.coalesce("family", "node"))
+    sized = family.join(family.groupBy("family").agg(F.count("*").alias("weight")), "family")
+    rows = members.join(sized, "node", "left").withColumn("family", F.coalesce("family", "node")).withColumn("weight", F.coalesce("weight", F.lit(1)))
     per = rows.groupBy("tree", "region", "family").agg(F.count("*").alias("n"))
     top = per.groupBy("tree", "region").agg(F.max_by("family", F.struct("n", "family")).alias("largest"), F.sum("n").alias("total"), F.max("n").alias("most"))
     top = top.filter("most < total").select("tree", "region", "largest", "total", (F.col("total") - F.col("most")).alias("others"))
-    rows = rows.select("tree", "region", "node", "family", "sketch").join(top, ["tree", "region"])
+    rows = rows.select("tree", "region", "node", "family", "weight", "sketch").join(top, ["tree", "region"])
     blocks, minor = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("total", "others"))
     rows = rows.withColumn("blocks", blocks).withColumn("minor", minor).withColumn("small", F.col("family") != F.col("largest"))
     every = rows.withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("minor") - 1)))
     own = rows.filter("small").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("j", F.pmod(F.xxhash64("node"), F.col("minor")).cast("int"))
-    pick = lambda df, side: df.select("tree", "region", "i", "j", F.lit(side).alias("side"), "node", "family", "small", "sketch")
+    pick = lambda df, side: df.select("tree", "region", "i", "j", F.lit(side).alias("side"), "node", "family", "weight", "small", "sketch")
     dealt = pick(every, 0).unionByName(pick(own, 1))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,23 +201,28 @@ def across_families(members: DataFrame, family: DataFrame, least: float) -> Data
             side = rows.column("side").to_numpy()
             node = rows.column("node").to_numpy()
             fam = rows.column("family").to_numpy()
+            weight = rows.column("weight").to_numpy()
             small = rows.column("small").to_numpy(zero_copy_only=False)
             sketch = _sketches(rows.column("sketch"))
-            left, right = [], []
+            found = [np.empty((0, 2), dtype=np.int64)]
             for lo, hi in zip(edges[:-1], edges[1:]):
                 minors = lo + np.flatnonzero(side[lo:hi] == 1)
                 alls = lo + np.flatnonzero(side[lo:hi] == 0)
+                block = []
                 for m in minors:
                     other = alls[(fam[alls] != fam[m]) & (~small[alls] | (node[alls] > node[m]))]
                     near = other[(sketch[other] == sketch[m]).mean(axis=1) >= least]
-                    left.append(np.full(len(near), node[m]))
-                    right.append(node[near])
-            a = np.concatenate(left) if left else np.empty(0, dtype=np.int64)
-            b = np.concatenate(right) if right else np.empty(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                    host = (weight[near] < weight[m]) | ((weight[near] == weight[m]) & (fam[near] > fam[m]))
+                    guests, homes = node[near[host]], np.unique(fam[near[~host]])
+                    block.append(np.column_stack([np.full(len(guests), fam[m]), guests]))
+                    block.append(np.column_stack([homes, np.full(len(homes), node[m])]))
+                if block:
+                    found.append(np.unique(np.concatenate(block), axis=0))
+            home, guest = np.concatenate(found).T
+            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(guest)], names=["home", "node"])
 
     ordered = dealt.repartition("tree", "region", "i", "j").sortWithinPartitions("tree", "region", "i", "j", "side", "node")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+    return ordered.mapInArrow(compare, "home long, node long").distinct()
 
 
 def similar(inter: np.ndarray, a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray:
@@ -242,23 +251,44 @@ def set_links(sets: list[np.ndarray], rows: np.ndarray, others: np.ndarray, perc
     return np.concatenate(left), np.concatenate(right)
 
 
-def links_in_families(texts: DataFrame, family: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) that join what is connected within each pair of blocks of a family (texts: node, text)."""
+def within_families(family: DataFrame) -> DataFrame:
+    """Pairs of blocks of a family: (family, kind 0, i, j, side, node), side 1 empty where a block meets itself."""
     sizes = family.groupBy("family").agg(F.count("*").alias("size")).filter("size > 1")
     rows = family.join(sizes, "family").withColumn("blocks", F.ceil(F.col("size") / F.lit(SET_BLOCK)).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("family", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"), "node")
-    rows = rows.join(texts, "node").select("family", "i", "j", "side", "node", "text")
+    side = F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side")
+    return rows.select("family", F.lit(0).alias("kind"), F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), side, "node")
+
+
+def with_guests(family: DataFrame, guests: DataFrame) -> DataFrame:
+    """Blocks of a family (side 0) and of its guests (side 1), every one with every other: (family, kind 1, i, j, side, node)."""
+    come = guests.select(F.col("home").alias("family"), "node")
+    counts = come.groupBy("family").agg(F.count("*").alias("guests"))
+    # a node in no family is its own
+    own = counts.select("family").join(family, "family", "left").select("family", F.coalesce("node", "family").alias("node"))
+    sizes = counts.join(own.groupBy("family").agg(F.count("*").alias("size")), "family")
+    blocks, groups = (F.ceil(F.col(c) / F.lit(SET_BLOCK)).cast("int") for c in ("size", "guests"))
+    sizes = sizes.select("family", blocks.alias("blocks"), groups.alias("groups"))
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = own.join(sizes, "family").withColumn("i", deal("blocks")).withColumn("j", every("groups")).withColumn("side", F.lit(0))
+    two = come.join(sizes, "family").withColumn("i", every("blocks")).withColumn("j", deal("groups")).withColumn("side", F.lit(1))
+    return one.unionByName(two).select("family", F.lit(1).alias("kind"), "i", "j", "side", "node")
+
+
+def links_in_blocks(texts: DataFrame, dealt: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that join what is connected on full sets within each pair of blocks (texts: node, text)."""
+    rows = dealt.join(texts, "node").select("family", "kind", "i", "j", "side", "node", "text")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, edges in whole_groups(batches, 3):
-            side, node = rows.column("side").to_numpy(), rows.column("node").to_numpy()
+        for rows, edges in whole_groups(batches, 4):
+            side, node, kind = (rows.column(c).to_numpy() for c in ("side", "node", "kind"))
             a, b = [], []
             for lo, hi in zip(edges[:-1], edges[1:]):
-                sets = list(shingle_sets(rows.column("text").slice(lo, hi - lo), width))
                 first, second = np.flatnonzero(side[lo:hi] == 0), np.flatnonzero(side[lo:hi] == 1)
-                if not len(first):
+                if not len(first) or (kind[lo] == 1 and not len(second)):
                     continue
+                sets = list(shingle_sets(rows.column("text").slice(lo, hi - lo), width))
                 left, right = set_links(sets, first, second if len(second) else first, percent)
                 root = roots(hi - lo, left, right)
                 on = np.flatnonzero(root != np.arange(hi - lo))
@@ -266,25 +296,10 @@ def links_in_families(texts: DataFrame, family: DataFrame, width: int, percent:
                 b.append(node[lo + on])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, dtype=np.int64)) for x in (a, b)], names=["a", "b"])
 
-    ordered = rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "side", "node")
+    ordered = rows.repartition("family", "kind", "i", "j").sortWithinPartitions("family", "kind", "i", "j", "side", "node")
     return ordered.mapInArrow(link, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the listed pairs (a, b) that reach the threshold on full sets."""
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(shingle_sets(batch.column(2), width), shingle_sets(batch.column(3), width))
-            on = pa.array([bool(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)) for x, y in pairs], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(on), batch.column(1).filter(on)], names=["a", "b"])
-
-    return both.mapInArrow(check, "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs(doc_id, text)``."""
     least = percent / 100 - SLACK
@@ -296,13 +311,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = reps.select("node", "two", "three", "sketch")
     members = on_cluster_disk(regions(nodes).join(nodes.select("node", "sketch"), "node").select("tree", "region", "node", "sketch", "size"))
     family = on_cluster_disk(families(members, elect(members), least))
-    pairs = on_cluster_disk(across_families(members, family, least))
+    guests = on_cluster_disk(across_families(members, family, least))
+    dealt = on_cluster_disk(within_families(family).unionByName(with_guests(family, guests)))
     text = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    wanted = family.select("node").unionByName(pairs.select(F.col("a").alias("node"))).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = on_cluster_disk(wanted)
+    wanted = on_cluster_disk(dealt.select("node").distinct())
     near = mark_members(text, "node", wanted, "__wanted").filter("__wanted").drop("__wanted")
     texts = on_cluster_disk(near.join(wanted, "node", "left_semi"))
-    links = links_in_families(texts, family, width, percent).unionByName(confirmed(pairs, texts, width, percent))
+    links = links_in_blocks(texts, dealt, width, percent)
     shared_ids = usable.select("doc_id", "key", "key2").join(reps.select("key", "key2", "node"), ["key", "key2"])
     copies = shared_ids.select(F.col("node").alias("a"), F.col("doc_id").alias("b")).filter("a <> b")
     names = components(links.unionByName(copies))
