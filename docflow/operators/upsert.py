@@ -42,7 +42,19 @@ def roll_up(
     )
 
 
+def split_keyless(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a key, rows without): a row without a key cannot be upserted, its caller puts it aside."""
+    return df.filter(F.col(key).isNotNull()), df.filter(F.col(key).isNull())
+
+
+def _with_keys(df: DataFrame, key: str) -> DataFrame:
+    """`df`, failing at run time on a NULL key (a filter: the partitioning by the key is kept)."""
+    return df.filter(F.when(F.col(key).isNull(), F.raise_error(F.lit(f"NULL {key} in an upsert; use split_keyless")).cast("boolean")).otherwise(True))
+
+
 def _pair(target: DataFrame, delta: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Both sides by key. NULL keys never match in a join and would add a row with each merge, so they are an error."""
+    target, delta = _with_keys(target, key), _with_keys(delta, key)
     t = target.select(key, *[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias("t__in"))
     d = delta.select(key, *[F.col(c).alias(f"d__{c}") for c in cols], F.lit(True).alias("d__in"))
     return t.join(d, on=key, how="full_outer")

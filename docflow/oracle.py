@@ -105,7 +105,7 @@ ORACLE: dict[str, str] = {
     "scan_collection": _COMPANIES,
     "insert_feed": """
         SELECT user_id AS _id, event_id, event_type, ts FROM (
-            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM events
         ) WHERE rn = 1
     """,
     "page_unwrap": """
@@ -135,6 +135,25 @@ ORACLE: dict[str, str] = {
     "jsonl_sink": _JOBS_SQL,
 }
 ORACLE["inner_join_requirements"] = ORACLE["flatten_inner"]
-ORACLE["upsert_open_fields"] = ORACLE["upsert_fields"]
+ORACLE["upsert_open_fields"] = """
+    SELECT user_id, field, value, inserted_at, updated_at FROM (
+        SELECT user_id, event_type AS field,
+               arg_max_null(CASE WHEN value < 2.0 THEN NULL ELSE event_id END, (ts, event_id)) AS value
+        FROM events GROUP BY user_id, event_type
+    ) JOIN (SELECT user_id, min(ts) AS inserted_at, max(ts) AS updated_at FROM events GROUP BY user_id) USING (user_id)
+"""
 ORACLE["ingest_pages_stream"] = ORACLE["ingest_pages"]
 ORACLE["insert_feed_stream"] = ORACLE["insert_feed"]
+ORACLE["ingest_partial_pages"] = ORACLE["ingest_pages"]
+ORACLE["stream_restart"] = _JOBS_SQL
+ORACLE["stream_quarantine"] = """
+    SELECT 'valid' AS kind, o_orderkey AS id, NULL::VARCHAR AS raw_value, NULL::VARCHAR AS reason FROM orders
+    UNION ALL
+    SELECT 'quarantine', NULL, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}', 'missing_or_invalid_key'
+    FROM events
+"""
+ORACLE["store_feed"] = """
+    SELECT CASE WHEN c_acctbal > 0 THEN 'update' ELSE 'insert' END AS "operationType",
+           c_custkey AS _id, c_mktsegment AS display_name
+    FROM customer
+"""

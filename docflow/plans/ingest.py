@@ -1,8 +1,12 @@
 """Crawl ingest: landed API pages -> keyed document store -> change feed.
 
-Each crawl is one batch of pages taken at one time. Documents are unwrapped from
-their pages, upserted by `_id` (latest crawl wins per field, first-insert and
-last-update times kept) and the store is written as a new version.
+Each crawl is one batch of pages taken at one time. Items are unwrapped from their pages
+with every field they carry and upserted by `_id` with ``$set`` meaning: a field of a later
+item replaces the stored one (an explicit null too), an absent field keeps it, and
+first-insert and last-update times are kept. The store holds the whole document as a map
+(`doc`) and the declared fields beside it as typed columns, which readers can prune.
+``docflow.sinks.keyed_store.store_changes`` gives the change events of a version. Pages and
+items that cannot be stored go to a quarantine folder beside the store, never nowhere.
 """
 
 from __future__ import annotations
@@ -13,14 +17,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docflow.operators.upsert import fold_batches, merge, roll_up
-from docflow.sources.pages import page_unwrap
+from docflow.operators.upsert import INSERTED, UPDATED, fold_batches, merge_open, roll_up_open
+from docflow.sources.pages import page_items, typed_field
 
 
-def crawl_documents(pages: DataFrame, doc_schema: StructType, crawl_time: Column, seq: int) -> DataFrame:
-    """One crawl's documents with its time; `seq` orders items within the crawl by page."""
-    docs = page_unwrap(pages, doc_schema)
-    return docs.withColumn("__t", crawl_time).withColumn("__seq", F.lit(seq))
+def crawl_documents(
+    pages: DataFrame, doc_schema: StructType, crawl_time: Column, seq: int, key: str = "_id"
+) -> tuple[DataFrame, DataFrame]:
+    """One crawl's (items with its time, quarantine); `seq` orders items within the crawl by page."""
+    docs, bad = page_items(pages, doc_schema, key=key)
+    return docs.withColumn("__t", crawl_time).withColumn("__seq", F.lit(seq)), bad
+
+
+def _state(df: DataFrame, key: str) -> DataFrame:
+    """What merging needs of a stored version."""
+    return df.select(key, "doc", INSERTED, UPDATED)
+
+
+def with_fields(state: DataFrame, doc_schema: StructType, fields: Sequence[str], key: str = "_id") -> DataFrame:
+    """Rolled-up documents with the declared fields as typed columns."""
+    types = {f.name: f.dataType for f in doc_schema.fields}
+    typed = [typed_field(F.col("doc"), f, types[f]).alias(f) for f in fields]
+    return state.select(key, *typed, INSERTED, UPDATED, "doc")
 
 
 def ingest_crawls(
@@ -32,15 +50,36 @@ def ingest_crawls(
 ) -> DataFrame:
     """Fold crawls (in order) into the store. Returns the new store contents.
 
-    Within a crawl, when the same id appears on two pages, the later page wins.
+    Within a crawl, when the same id appears on two pages, the later page's fields win. What
+    cannot be stored is the second part of ``crawl_documents``.
     """
-    docs = [crawl_documents(pages, doc_schema, t, i) for i, (pages, t) in enumerate(crawls)]
-    return fold_batches(
+    docs = [crawl_documents(pages, doc_schema, t, i, key)[0] for i, (pages, t) in enumerate(crawls)]
+    state = fold_batches(
         docs,
-        lambda d: roll_up(d, key, fields, ["__t", "__seq", "page"], "__t"),
-        lambda t, d: merge(t, d, key, fields),
-        initial=store,
+        lambda d: roll_up_open(d, key, "doc", ["__t", "__seq", "page"], "__t"),
+        lambda t, d: merge_open(t, d, key),
+        initial=None if store is None else _state(store, key),
     )
+    return with_fields(state, doc_schema, fields, key)
+
+
+def _store(spark, root: str, docs: DataFrame, bad: DataFrame, doc_schema, fields, order_by, time_col, key, buckets) -> int:
+    from docflow.sinks.files import write_batch
+    from docflow.sinks.keyed_store import upsert_keyed, versions
+
+    committed = versions(spark, root)
+    write_batch(bad, quarantine_path(root), (committed[-1][0] if committed else 0) + 1)
+    rolled = with_fields(roll_up_open(docs, key, "doc", order_by, time_col), doc_schema, fields, key)
+
+    def combine(current: DataFrame, delta: DataFrame) -> DataFrame:
+        return with_fields(merge_open(_state(current, key), _state(delta, key), key), doc_schema, fields, key)
+
+    return upsert_keyed(spark, root, rolled, key, fields, buckets, combine=combine)
+
+
+def quarantine_path(root: str) -> str:
+    """Folder of what the upserts into the store at `root` could not store, one subfolder for each version."""
+    return root.rstrip("/") + "_quarantine"
 
 
 def ingest_crawl_into_store(
@@ -55,11 +94,8 @@ def ingest_crawl_into_store(
     buckets: int | None = None,
 ) -> int:
     """Unwrap one crawl, roll it up per key and upsert it into the bucketed keyed store."""
-    from docflow.sinks.keyed_store import upsert_keyed
-
-    docs = crawl_documents(pages, doc_schema, crawl_time, seq)
-    rolled = roll_up(docs, key, fields, ["__t", "__seq", "page"], "__t")
-    return upsert_keyed(spark, root, rolled, key, fields, buckets)
+    docs, bad = crawl_documents(pages, doc_schema, crawl_time, seq, key)
+    return _store(spark, root, docs, bad, doc_schema, fields, ["__t", "__seq", "page"], "__t", key, buckets)
 
 
 def pages_batch_writer(
@@ -75,11 +111,9 @@ def pages_batch_writer(
     Items are ordered by (crawl time, page) within the batch. Replaying a batch is
     harmless: merging the same roll-up twice gives the same store contents.
     """
-    from docflow.sinks.keyed_store import upsert_keyed
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        docs = page_unwrap(batch_df, doc_schema, keep=("page", time_col))
-        rolled = roll_up(docs, key, fields, [time_col, "page"], time_col)
-        upsert_keyed(batch_df.sparkSession, root, rolled, key, fields, buckets)
+        docs, bad = page_items(batch_df, doc_schema, keep=("page", time_col), key=key)
+        _store(batch_df.sparkSession, root, docs, bad, doc_schema, fields, [time_col, "page"], time_col, key, buckets)
 
     return fn

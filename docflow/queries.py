@@ -284,9 +284,8 @@ def q_upsert_open_fields(spark, sf_dir):
         lambda b: roll_up_open(b, "user_id", "m", ["ts", "event_id"], "ts"),
         lambda t, d: merge_open(t, d, "user_id"),
     )
-    return state.select(
-        "user_id", *[F.col("doc").getItem(f).cast("long").alias(f) for f in EVENT_FIELDS], "inserted_at", "updated_at"
-    )
+    fields = state.select("user_id", F.explode("doc").alias("field", "value"), "inserted_at", "updated_at")
+    return fields.withColumn("value", F.col("value").cast("long"))
 
 
 QUERIES["upsert_open_fields"] = q_upsert_open_fields
@@ -346,3 +345,89 @@ def q_insert_feed_stream(spark, sf_dir):
 
 
 QUERIES["insert_feed_stream"] = q_insert_feed_stream
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """Binary payloads (as a topic delivers them): jobs, and event records that carry no `_id`.
+    Valid documents and the quarantine, both as written by the stream."""
+    from docflow.sources.stream import stream_records
+
+    events = dt.event_history(spark, sf_dir)
+    keyless = events.select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
+    payload = dt.job_json(spark, sf_dir).unionByName(keyless).select(F.col("value").cast("binary").alias("value"))
+    landed = scratch_path(spark, "payload_landed")
+    payload.write.parquet(landed)
+    out, bad = scratch_path(spark, "payload_out"), scratch_path(spark, "payload_quarantine")
+    src = stream_records(spark, "parquet", payload.schema, landed)
+    fn = decode_to_files(JOB_SCHEMA, lambda docs: docs.select(F.col("_id").alias("id")), out, bad)
+    _finish(run_stream(src, fn, scratch_path(spark, "payload_chk"), trigger={"availableNow": True}))
+    valid = spark.read.parquet(out).select(
+        F.lit("valid").alias("kind"), "id", F.lit(None).cast("string").alias("raw_value"), F.lit(None).cast("string").alias("reason")
+    )
+    quarantine = spark.read.parquet(bad).select(F.lit("quarantine").alias("kind"), F.lit(None).cast("long").alias("id"), "raw_value", "reason")
+    return valid.unionByName(quarantine)
+
+
+QUERIES["stream_quarantine"] = q_stream_quarantine
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def q_stream_restart(spark, sf_dir):
+    """Jobs land in two parts. The stream stops after the first and restarts from its checkpoint
+    for the second; then the first batch is replayed, as after a failure before its commit."""
+    jobs = dt.job_json(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(2)))
+    landing, chk = scratch_path(spark, "restart_landing"), scratch_path(spark, "restart_chk")
+    out, bad = scratch_path(spark, "restart_out"), scratch_path(spark, "restart_quarantine")
+    fn = decode_to_files(JOB_SCHEMA, jobs_table, out, bad)
+    for part in (0, 1):
+        jobs.filter(F.col("part") == part).select("value").write.text(f"{landing}/part={part}")
+        src = stream_documents(spark, "text", f"{landing}/*")
+        _finish(run_stream(src, fn, chk, trigger={"availableNow": True}))
+    fn(spark.read.text(f"{landing}/part=0").select("value"), 0)
+    return spark.read.parquet(out).drop(BATCH_COL).select(*JOBS_STREAM_COLUMNS)
+
+
+QUERIES["stream_restart"] = q_stream_restart
+
+
+def q_ingest_partial_pages(spark, sf_dir):
+    """The second crawl's items carry the name only: the fields they do not carry stay."""
+    from docflow.plans.ingest import ingest_crawl_into_store
+    from docflow.sinks.keyed_store import read_keyed
+
+    customer = dt.read_table(spark, sf_dir, "customer")
+    renamed = dt.company_api_docs(customer.filter(F.col("c_acctbal") <= 0), rename_segment=True)
+    crawls = (dt.api_pages(dt.company_api_docs(customer)), dt.api_pages(renamed.select("id", "display_name")))
+    fields = ["display_name", "company_size", "nationalities_str"]
+    root = scratch_path(spark, "company_store_partial")
+    for seq, (pages, t) in enumerate(zip(crawls, CRAWL_TIMES)):
+        ingest_crawl_into_store(spark, root, pages, COMPANY_API_DOC, fields, _ntz(t), seq)
+    return read_keyed(spark, root, "_id").select("_id", *fields, "inserted_at", "updated_at")
+
+
+QUERIES["ingest_partial_pages"] = q_ingest_partial_pages
+
+
+def q_store_feed(spark, sf_dir):
+    """Change events of the store's second version: companies new in the second crawl are
+    inserts, those listed again are updates."""
+    from docflow.plans.ingest import ingest_crawl_into_store
+    from docflow.sinks.keyed_store import store_changes
+
+    customer = dt.read_table(spark, sf_dir, "customer")
+    crawls = (
+        dt.api_pages(dt.company_api_docs(customer.filter(F.col("c_acctbal") > 0))),
+        dt.api_pages(dt.company_api_docs(customer, rename_segment=True)),
+    )
+    root = scratch_path(spark, "company_store_feed")
+    for seq, (pages, t) in enumerate(zip(crawls, CRAWL_TIMES)):
+        ingest_crawl_into_store(spark, root, pages, COMPANY_API_DOC, ["display_name"], _ntz(t), seq)
+    return store_changes(spark, root, "_id").select("operationType", "fullDocument._id", "fullDocument.display_name")
+
+
+QUERIES["store_feed"] = q_store_feed

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docflow.operators.upsert import merge, merge_fields
+from docflow.operators.upsert import UPDATED, merge, merge_fields
 
 _VERSION = re.compile(r"^v=(\d+)_b=(\d+)$")
 
@@ -75,15 +76,39 @@ def _register(spark: SparkSession, root: str, version: int, buckets: int, key: s
     return name
 
 
-def read_keyed(spark: SparkSession, root: str, key: str) -> DataFrame | None:
-    """Current version as a bucketed table scan, or None when the store is empty."""
-    vs = versions(spark, root)
+def read_keyed(spark: SparkSession, root: str, key: str, version: int | None = None) -> DataFrame | None:
+    """Current (or the given) version as a bucketed table scan, or None when there is none."""
+    vs = [v for v in versions(spark, root) if version is None or v[0] == version]
     if not vs:
         return None
     version, buckets = vs[-1]
     return spark.table(_register(spark, root, version, buckets, key))
 
 
+def store_changes(spark: SparkSession, root: str, key: str, version: int | None = None) -> DataFrame:
+    """Change events (operationType, fullDocument) that made a version, the current one by default.
+
+    A key that the version before did not hold is an insert, a later `updated_at` an update. Both
+    versions are bucketed by the key, so with equal bucket counts the join has no shuffle.
+    """
+    vs = versions(spark, root)
+    if not vs:
+        raise ValueError(f"{root} holds no version")
+    version = vs[-1][0] if version is None else version
+    after = read_keyed(spark, root, key, version)
+    if after is None:
+        raise ValueError(f"{root} holds no version {version}")
+    before = read_keyed(spark, root, key, version - 1)
+    document = F.struct(*after.columns).alias("fullDocument")
+    if before is None:
+        return after.select(F.lit("insert").alias("operationType"), document)
+    known = before.select(key, F.col(UPDATED).alias("__before"), F.lit(True).alias("__known"))
+    joined = after.join(known, key, "left")
+    inserted = F.col("__known").isNull()
+    changed = joined.filter(inserted | ~F.col(UPDATED).eqNullSafe(F.col("__before")))
+    return changed.select(F.when(inserted, F.lit("insert")).otherwise(F.lit("update")).alias("operationType"), document)
+
+
 def upsert_keyed(
     spark: SparkSession,
     root: str,
@@ -92,13 +117,14 @@ def upsert_keyed(
     fields: Sequence[str],
     buckets: int | None = None,
     presence: bool = False,
+    combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> int:
     """Merge a rolled-up `delta` (``roll_up`` / ``roll_up_fields`` output) into the store.
 
     Writes the next version and returns its number. `buckets`: None keeps the store's
     count (a new store takes ``spark.sql.shuffle.partitions``, so the delta's shuffle
     already matches); a different count re-buckets, which shuffles the stored side once.
-    `presence` selects field-level ``$set`` merging. One writer at a time: two upserts at once
+    `presence` selects field-level ``$set`` merging, `combine` any other merge of (current, delta). One writer at a time: two upserts at once
     would compute the same next version.
     """
     _refuse_unmarked(spark, root)
@@ -106,7 +132,12 @@ def upsert_keyed(
     if buckets is None:
         buckets = vs[-1][1] if vs else int(spark.conf.get("spark.sql.shuffle.partitions"))
     current = read_keyed(spark, root, key)
-    merged = delta if current is None else (merge_fields if presence else merge)(current, delta, key, fields)
+    if current is None:
+        merged = delta
+    elif combine is not None:
+        merged = combine(current, delta)
+    else:
+        merged = (merge_fields if presence else merge)(current, delta, key, fields)
     nxt = (vs[-1][0] + 1) if vs else 1
     name = _table(root, nxt)
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: drops metadata of a failed try only

@@ -173,9 +173,10 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = event_history(spark, sf_dir)
     firsts = ev.groupBy("user_id").agg(F.min(F.struct("ts", "event_id")).alias("f")).select(
-        "user_id", F.col("f.ts").alias("ts"), F.col("f.event_id").alias("event_id"), F.lit(True).alias("is_first")
+        F.col("user_id").alias("f_user"), F.col("f.ts").alias("f_ts"), F.col("f.event_id").alias("f_event"), F.lit(True).alias("is_first")
     )
-    tagged = ev.join(firsts, ["user_id", "ts", "event_id"], "left")
+    pairs = (("user_id", "f_user"), ("ts", "f_ts"), ("event_id", "f_event"))
+    tagged = ev.join(firsts, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs], "left")  # a first event may lack its time or user
     return tagged.select(
         F.when(F.col("is_first"), F.lit("insert")).otherwise(F.lit("update")).alias("operationType"),
         F.struct(

@@ -36,19 +36,18 @@ def run_stream(
     return w.start()
 
 
-def decode_to_files(
+def decode_to(
     schema: StructType,
-    transform: Callable[[DataFrame], DataFrame],
-    out_path: str,
+    write_valid: BatchFn,
     quarantine_path: str,
     key: str = "_id",
     fmt: str = "parquet",
 ) -> BatchFn:
-    """Batch function: decode once, write transform(valid) and the quarantine, idempotently.
+    """Batch function: decode once, hand the valid documents to `write_valid`, keep the rest in the quarantine.
 
-    Both outputs replace their `batch_id=N` partition, so a replayed batch id yields
-    the same table. The parsed batch is persisted (memory, then disk) so the text is
-    decoded once for the two writes; a lost block is recomputed from the source offsets.
+    The quarantine replaces its `batch_id=N` folder. The parsed batch is persisted (memory, then
+    disk) so the text is decoded once for the two writes; a lost block is recomputed from the
+    source offsets.
     """
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
@@ -56,9 +55,32 @@ def decode_to_files(
         parsed = parse(text, schema, "value", keep_raw=True, key=key).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             valid, quarantine = split_parsed(parsed, key)
-            write_batch(transform(valid), out_path, batch_id, fmt)
+            write_valid(valid, batch_id)
             write_batch(quarantine, quarantine_path, batch_id, fmt)
         finally:
             parsed.unpersist()
 
     return fn
+
+
+def decode_to_files(
+    schema: StructType,
+    transform: Callable[[DataFrame], DataFrame],
+    out_path: str,
+    quarantine_path: str,
+    key: str = "_id",
+    fmt: str = "parquet",
+) -> BatchFn:
+    """``decode_to`` with transform(valid) as files; a replayed batch id yields the same table."""
+    return decode_to(schema, lambda valid, batch_id: write_batch(transform(valid), out_path, batch_id, fmt), quarantine_path, key, fmt)
+
+
+def decode_to_jdbc(
+    schema: StructType,
+    transform: Callable[[DataFrame], DataFrame],
+    writer: BatchFn,
+    quarantine_path: str,
+    key: str = "_id",
+) -> BatchFn:
+    """``decode_to`` with transform(valid) handed to a table writer (``docflow.sinks.guard.jdbc_batch_writer``)."""
+    return decode_to(schema, lambda valid, batch_id: writer(transform(valid), batch_id), quarantine_path, key)
