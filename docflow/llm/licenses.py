@@ -3,8 +3,11 @@
 Every rolling k-gram of a document's words is matched with the k-grams of license templates.
 A match of document position p with template position t votes for the diagonal p - t; a copy
 of the template at word s fills diagonal s, and a copy with a few words more or less fills
-neighbouring diagonals. Votes are aggregated by exact diagonal, diagonals within a small band
-whose spans meet are merged, and a merged span's coverage of its template is its score.
+neighbouring diagonals. Votes are ordered by diagonal, and diagonals at most a small band apart
+are merged: words inserted, deleted or replaced between two parts of a copy move the later part by
+the difference in words, and votes on near diagonals of one template lie in one region of the
+document. The share of the template's positions that a merged span covers, each counted once, is
+its score.
 
 Tasks emit only the grams that a bit table of the templates' grams lets through (a filter
 without false negatives, of fixed size), with their words; the join with the template table
@@ -126,21 +129,19 @@ def scan(docs: DataFrame, base: list[Template], notices: list[Template], k: int
     found = matching_grams(docs, rows).select("row_key", "doc_id", "n_words", F.explode_outer("found").alias("m"))
     found = found.select("row_key", "doc_id", "n_words", "m.pos", "m.size", "m.gram", "m.words")
     joined = found.join(F.broadcast(listed), ["size", "gram", "words"], "left")
-    # votes of one diagonal: each template position once, as position minus template position is fixed
     doc = ["row_key", "doc_id", "n_words"]
-    votes = joined.groupBy(*doc, "template", "label", "whole", "grams_total", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
-        F.count("tpos").alias("votes"), F.min("pos").alias("first"), F.max(F.col("pos") + F.col("size")).alias("end")
-    )
+    votes = joined.withColumn("diagonal", F.col("pos") - F.col("tpos"))
     order = Window.partitionBy("row_key", "template").orderBy("diagonal")
-    far = (F.col("diagonal") - F.lag("diagonal").over(order) > F.lit(band)) | (F.col("first") > F.lag("end").over(order))
     # exact places of base phrases are single diagonals; neighbours merge only for notices
-    starts = F.when(F.col("whole") | F.coalesce(far, F.lit(True)), 1).otherwise(0)
+    reach = F.when(F.col("whole"), 0).otherwise(band)
+    far = F.col("diagonal") - F.lag("diagonal").over(order) > reach
+    starts = F.when(F.coalesce(far, F.lit(True)), 1).otherwise(0)
     merged = votes.withColumn("start", starts).withColumn("group", F.sum("start").over(order))
+    # a template position that several diagonals cover counts once
     spans = merged.groupBy(*doc, "template", "label", "whole", "grams_total", "group").agg(
-        F.sum("votes").alias("votes"), F.min("first").alias("first"), F.max("end").alias("end"), F.min("diagonal").alias("diagonal")
+        F.count_distinct("tpos").alias("covered"), F.min("pos").alias("first"), F.max(F.col("pos") + F.col("size")).alias("end"), F.min("diagonal").alias("diagonal")
     )
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("grams_total"))
-    spans = spans.withColumn("coverage", share).withColumn("place", F.col("whole") & (F.col("votes") == F.col("grams_total")))
+    spans = spans.withColumn("coverage", F.col("covered") / F.col("grams_total")).withColumn("place", F.col("whole") & (F.col("covered") == F.col("grams_total")))
     hit = F.col("place") | (~F.col("whole") & (F.col("coverage") >= F.lit(coverage)))
     span = F.struct("label", "first", "end", "coverage")
     return spans.groupBy(*doc).agg(
