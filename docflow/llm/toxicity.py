@@ -12,7 +12,8 @@ with the sigmoid loss: when the bracket turns negative, its gradient is turned r
 classifier cannot learn to call unlabelled positives clean.
 
 Bounds: at most ``MAX_POSITIVES`` positive and ``MAX_UNLABELLED`` unlabelled training rows, those
-with the lowest hash of their id. Features are counted over these rows by Spark; only features
+with the lowest hash of their id. Rows that share an id train as one, the text with the lowest hash
+(a null text only if there is no other). Features are counted over these rows by Spark; only features
 that occur clearly more often in positives than in unlabelled text keep a weight. Scoring reads
 every whole text.
 
@@ -148,9 +149,14 @@ def sample_rows(labels: DataFrame, modulus: int, held_out: int, max_pos: int, ma
 def learn(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, max_pos: int = MAX_POSITIVES, max_unl: int = MAX_UNLABELLED) -> Linear:
     from docflow.llm.common import on_cluster_disk
 
-    ids, prior, n_pos, n_unl = sample_rows(labels, modulus, held_out, max_pos, max_unl)
+    ids, prior, _, _ = sample_rows(labels, modulus, held_out, max_pos, max_unl)
     ids = on_cluster_disk(ids)  # at most max_pos + max_unl rows
-    rows = on_cluster_disk(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("positive", "text"))
+    sampled = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
+    # one text for each id, combined before the shuffle: a repeated id adds no row
+    one = sampled.groupBy("doc_id").agg(F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"), "text")).alias("text"))
+    rows = on_cluster_disk(one.join(F.broadcast(ids), "doc_id").select("positive", "text"))
+    sizes = {r["positive"]: r["n"] for r in rows.groupBy("positive").agg(F.count("*").alias("n")).collect()}
+    n_pos, n_unl = sizes.get(True, 0), sizes.get(False, 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 1 << BITS), dtype=np.int64)
