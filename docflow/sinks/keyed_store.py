@@ -17,8 +17,9 @@ import hashlib
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from docflow.operators.upsert import UPDATED, merge, merge_fields
 
@@ -85,11 +86,26 @@ def read_keyed(spark: SparkSession, root: str, key: str, version: int | None = N
     return spark.table(_register(spark, root, version, buckets, key))
 
 
+def _ordered(value: Column, kind: DataType) -> Column:
+    """`value` in a form that can be compared: a map as its entries in order, at any depth."""
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.struct(_ordered(e["key"], kind.keyType).alias("key"), _ordered(e["value"], kind.valueType).alias("value")))
+        return F.array_sort(entries)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda e: _ordered(e, kind.elementType))
+    if isinstance(kind, StructType):
+        parts = [_ordered(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    return value
+
+
 def store_changes(spark: SparkSession, root: str, key: str, version: int | None = None) -> DataFrame:
     """Change events (operationType, fullDocument) that made a version, the current one by default.
 
-    A key that the version before did not hold is an insert, a later `updated_at` an update. Both
-    versions are bucketed by the key, so with equal bucket counts the join has no shuffle.
+    A key that the version before did not hold is an insert, another `updated_at` or any other
+    difference of the document an update (several versions may share a time: pages of one crawl in
+    several micro-batches). Both versions are bucketed by the key, so with equal bucket counts the
+    join has no shuffle.
     """
     vs = versions(spark, root)
     if not vs:
@@ -102,10 +118,17 @@ def store_changes(spark: SparkSession, root: str, key: str, version: int | None
     document = F.struct(*after.columns).alias("fullDocument")
     if before is None:
         return after.select(F.lit("insert").alias("operationType"), document)
-    known = before.select(key, F.col(UPDATED).alias("__before"), F.lit(True).alias("__known"))
+    held = [f for f in before.schema.fields if f.name != key]
+    known = before.select(key, F.struct(*[_ordered(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in held]).alias("__before"), F.lit(True).alias("__known"))
     joined = after.join(known, key, "left")
     inserted = F.col("__known").isNull()
-    changed = joined.filter(inserted | ~F.col(UPDATED).eqNullSafe(F.col("__before")))
+    names = {f.name for f in held}
+    same = F.lit(True)
+    for f in after.schema.fields:
+        if f.name != key:
+            old = F.col("__before").getField(f.name) if f.name in names else F.lit(None)
+            same = same & _ordered(F.col(f"`{f.name}`"), f.dataType).eqNullSafe(old)
+    changed = joined.filter(inserted | ~same)
     return changed.select(F.when(inserted, F.lit("insert")).otherwise(F.lit("update")).alias("operationType"), document)
 
 
