@@ -152,6 +152,7 @@ ORACLE["stream_quarantine"] = """
     SELECT 'quarantine', NULL, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}', 'missing_or_invalid_key'
     FROM events
 """
+ORACLE["batch_quarantine"] = ORACLE["stream_quarantine"]
 ORACLE["store_feed"] = """
     SELECT CASE WHEN c_acctbal > 0 THEN 'update' ELSE 'insert' END AS "operationType",
            c_custkey AS _id, c_mktsegment AS display_name

@@ -47,13 +47,23 @@ def ingest_crawls(
     fields: Sequence[str],
     store: DataFrame | None = None,
     key: str = "_id",
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Fold crawls (in order) into the store. Returns the new store contents.
 
-    Within a crawl, when the same id appears on two pages, the later page's fields win. What
-    cannot be stored is the second part of ``crawl_documents``.
+    Within a crawl, when the same id appears on two pages, the later page's fields win. Pages and
+    items that cannot be stored go to the folder `quarantine`, one subfolder for each crawl (by
+    default a fresh one under the shared folder).
     """
-    docs = [crawl_documents(pages, doc_schema, t, i, key)[0] for i, (pages, t) in enumerate(crawls)]
+    from docflow.session import scratch_path
+    from docflow.sinks.files import write_batch
+
+    docs = []
+    for i, (pages, t) in enumerate(crawls):
+        items, bad = crawl_documents(pages, doc_schema, t, i, key)
+        quarantine = quarantine or scratch_path(pages.sparkSession, "crawls_quarantine")
+        write_batch(bad, quarantine, i)
+        docs.append(items)
     state = fold_batches(
         docs,
         lambda d: roll_up_open(d, key, "doc", ["__t", "__seq", "page"], "__t"),

@@ -50,7 +50,7 @@ def _ntz(s: str):
 
 
 def _job_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job documents in wire form, decoded with the fixed schema."""
+    """Job documents in wire form, decoded with the fixed schema. The rest is rows of ``q_batch_quarantine``."""
     docs, _ = decode_documents(dt.job_json(spark, sf_dir), JOB_SCHEMA)
     return docs
 
@@ -371,6 +371,20 @@ def q_stream_quarantine(spark, sf_dir):
 QUERIES["stream_quarantine"] = q_stream_quarantine
 
 
+def q_batch_quarantine(spark, sf_dir):
+    """The job documents of the batch queries and event records that carry no `_id`: every document
+    leaves a row, decoded or with its raw text and the reason."""
+    keyless = dt.event_history(spark, sf_dir).select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
+    valid, bad = decode_documents(dt.job_json(spark, sf_dir).unionByName(keyless), JOB_SCHEMA)
+    none = F.lit(None)
+    return valid.select(F.lit("valid").alias("kind"), F.col("_id").alias("id"), none.cast("string").alias("raw_value"), none.cast("string").alias("reason")).unionByName(
+        bad.select(F.lit("quarantine").alias("kind"), none.cast("long").alias("id"), "raw_value", "reason")
+    )
+
+
+QUERIES["batch_quarantine"] = q_batch_quarantine
+
+
 def _finish(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
