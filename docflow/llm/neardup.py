@@ -1,11 +1,14 @@
-"""MinHash near duplicates with an LSH forest, confirmed on full shingle sets.
+"""MinHash near duplicates by prefix groups of 16 trees, confirmed on full shingle sets.
 
 A text's set holds its distinct word shingles. Texts with equal sets are one class, and the work
-below is on one member of each. ``SLOTS`` minhashes fill a forest of ``TREES`` sorted signature
-orders: a tree sorts by its own minhashes, one after another, and neighbours with a common prefix
-are candidates. The prefix is ``2`` minhashes deep where few share it and ``3`` deep in crowded
-regions; no region goes deeper, so a pair just at the threshold is missed with probability below
-(1 - 0.8**3)**16, about 1 in 100,000, however crowded it is.
+below is on one member of each. ``SLOTS`` minhashes make ``TREES`` trees of 16. No tree is sorted and
+no longest common prefix is computed: texts that share a hash of a tree's first ``2`` minhashes form a
+region, and in a region of more than ``CROWD`` members those that share the first ``3``. All members of
+a region are candidates, so the regions hold every pair that neighbours in sorted orders with a
+common prefix of that depth would, in whatever place of the order. No region goes deeper, as each
+level costs recall: a pair at similarity 0.8 shares d minhashes of one tree with probability 0.8**d and
+is missed by all 16 with (1 - 0.8**d)**16, which is about 1 in 100,000 at d = 3, 1 in 5,000 at d = 4 and
+1 in 600 at d = 5. The other 13 minhashes of a tree order nothing; they serve the sketch only.
 
 Crowded regions are not compared pair by pair. A region elects its most typical member, the one
 whose sketch agrees most with the region's majority, through blocks of bounded size; a member's
