@@ -7,8 +7,11 @@ separator, which no search crosses. The shard's suffixes are sorted, their prece
 backwards at once by its ranks. Occurrences are located through sampled suffix positions: a walk
 to the preceding suffix ends at the next sample. Spans that overlap or touch are merged.
 
-The benchmark is read in blocks of ``ITEM_BYTES`` of text, each searched in every shard one after
-another, so its size is not assumed. Words are compared by 64-bit hashes.
+A benchmark of at most ``ITEM_BYTES`` of text and ids is one broadcast. The windows of a larger one
+are made by tasks in blocks of ``ITEM_BYTES`` and written to the shared folder (one that pyarrow
+reads: a mounted folder, HDFS or an object store); each shard is searched for one block after another,
+read when its turn comes and not kept, so neither the driver nor a worker holds the whole. Words
+are compared by 64-bit hashes.
 
 Defined results: a null or empty text has no words and stays as it is; an item without words has
 no window; items that share an id are one item; a null item id counts as the empty string;
@@ -19,17 +22,21 @@ passed over, whatever their names.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from docflow.llm.common import read_documents, read_table
 from docflow.llm.textwords import ALNUM, hash_text, text_blocks, words_of
+from docflow.session import scratch_path
 
 WINDOW = 10
 SHARD_BYTES = 2 << 20
@@ -220,17 +227,58 @@ def without_spans(raw: bytes, begin: np.ndarray, end: np.ndarray, hit: np.ndarra
     return b"".join(parts).decode("utf-8", "surrogatepass")
 
 
-def item_blocks(benchmark: DataFrame, width: int = WINDOW, limit: int = ITEM_BYTES) -> list:
-    """The benchmark in blocks of bounded size, each a broadcast of its own."""
-    context = benchmark.sparkSession.sparkContext
-    out, block, size = [], [], 0
-    for item in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        if block and size + len(item[1] or "") > limit:
-            out.append(context.broadcast(windows_of(block, width)))
-            block, size = [], 0
-        block.append((item[0], item[1]))
-        size += len(item[1] or "")
-    return [*out, context.broadcast(windows_of(block, width))]
+def _open(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a file in the shared folder (a plain path, or a URI of a store that pyarrow reads)."""
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def item_blocks(benchmark: DataFrame, width: int = WINDOW, limit: int | None = None) -> tuple[list, list[str]]:
+    """The windows of the benchmark: one broadcast if it fits one block, otherwise files in the shared folder.
+
+    Tasks make the files, so the driver sees their paths only. A task that runs again writes
+    files of other names, and only those of the run that counted are listed.
+    """
+    limit = limit or ITEM_BYTES
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter(F.octet_length("text") > 0)
+    size = items.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).first()[0] or 0
+    if size <= limit:
+        return [spark.sparkContext.broadcast(windows_of([tuple(r) for r in items.collect()], width))], []
+    root = scratch_path(spark, "benchmark_windows")
+
+    def store(block: list[tuple[str, str]]) -> pa.RecordBatch:
+        path = f"{root}/{uuid.uuid4().hex}"
+        system, inner = _open(path)
+        system.create_dir(inner.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(inner) as out:
+            out.write(pickle.dumps(windows_of(block, width), protocol=5))
+        return pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size = [], 0
+        for batch in batches:
+            for item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if block and size + len(item[1]) > limit:
+                    yield store(block)
+                    block, size = [], 0
+                block.append(item)
+                size += len(item[1])
+        if block:
+            yield store(block)
+
+    blocks = -(-size // limit)
+    return [], sorted(r[0] for r in items.coalesce(blocks).mapInArrow(run, "path string").collect())
+
+
+def read_blocks(shared: list, paths: list[str]) -> Iterator[Windows]:
+    """The blocks one after another; those in files are read each time and not kept."""
+    yield from (b.value for b in shared)
+    for path in paths:
+        system, inner = _open(path)
+        with system.open_input_stream(inner) as source:
+            yield pickle.loads(source.read())
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, keep_text: bool = False) -> DataFrame:
@@ -239,7 +287,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ke
     With ``keep_text`` the input's columns come first (but for those of the new names), ``text`` without
     the merged spans of hit words.
     """
-    shared = item_blocks(benchmark, width)
+    shared, paths = item_blocks(benchmark, width)
     new = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType()), StructField("contaminated", BooleanType())]
     source = docs.drop(*[f.name for f in new]) if keep_text else docs.select("doc_id", "text")
     at = source.columns.index("text")
@@ -250,7 +298,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, ke
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column(at), SHARD_BYTES):
                 w = words_of(data, offsets, ALNUM)
-                hit, items = find(w.hashes, w.first, (b.value for b in shared))
+                hit, items = find(w.hashes, w.first, read_blocks(shared, paths))
                 hits = np.r_[0, np.cumsum(hit)]
                 n_hit = hits[w.first[1:]] - hits[w.first[:-1]]
                 found = [sorted(items.get(i, ())) for i in range(hi - lo)]
