@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docflow.llm.alignment import op13_tokenizer_alignment
 from docflow.llm.decontaminate import op2_decontamination
 from docflow.llm.embeddings import op4_embedding_dedup
 from docflow.llm.licenses import op9_licenses
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
