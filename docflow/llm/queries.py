@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docflow.llm.alignment import op13_tokenizer_alignment
 from docflow.llm.decontaminate import op2_decontamination
 from docflow.llm.embeddings import op4_embedding_dedup
+from docflow.llm.hardnegatives import op11_hard_negatives
 from docflow.llm.licenses import op9_licenses
 from docflow.llm.neardup import op3_minhash_dedup
 from docflow.llm.packing import op8_packing
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
@@ -58,4 +60,23 @@ _OP2 = f"""
     FROM doc LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
-ORACLE: dict[str, str] = {"op2_decontamination": _OP2}
+_OP11 = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+    ), pos AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM pos JOIN s USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    QUALIFY rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op2_decontamination": _OP2, "op11_hard_negatives": _OP11}
