@@ -38,12 +38,12 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, Struc
 from docflow.llm.common import on_cluster_disk, read_documents
 from docflow.llm.flatwords import FlatLists, numbered, split_column, spread, sums, text_parts
 
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 #: Units that a worker remembers, and bytes of text given to a tokenizer at once.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 LESSON_BYTES = 1 << 16
 #: Links made at once while pairs are counted.
-LINKS_AT_ONCE = 1 << 22
+LINKS_AT_ONCE = 1 << 20
 
 _SHIFT = 32
 _CUT = re.compile(r"(?<! )(?= \S)")
@@ -298,7 +298,8 @@ class Block:
 def align_block(texts: pa.Array, units: Units) -> Block:
     rows, edges, occurrences = units_of(texts, units)
     n = len(rows)
-    used, local = np.unique(occurrences, return_inverse=True)
+    used, local = np.unique(occurrences.astype(np.int32), return_inverse=True)
+    local = local.astype(np.int32)
     counts, _ = units.counts.gather(used)
     counts = counts.reshape(-1, 5)
     bad = sums(counts[local, 4], edges) > 0
@@ -310,7 +311,7 @@ def align_block(texts: pa.Array, units: Units) -> Block:
         groups.append("" if bad[k] or not part else hashlib.sha256(";".join([text[j] for j in part]).encode()).hexdigest())
     owner = np.repeat(np.arange(n), np.diff(edges))
     good = ~bad[owner]
-    key, times = np.unique(owner[good] * max(len(used), 1) + local[good], return_counts=True)
+    key, times = np.unique(owner[good] * np.int64(max(len(used), 1)) + local[good], return_counts=True)
     doc, unit = np.divmod(key, max(len(used), 1))
     pair, sizes = units.pairs.gather(used)
     links, _ = units.links.gather(used)
