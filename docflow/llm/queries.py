@@ -10,6 +10,7 @@ from docflow.llm.alignment import op13_tokenizer_alignment
 from docflow.llm.decontaminate import op2_decontamination
 from docflow.llm.embeddings import op4_embedding_dedup
 from docflow.llm.hardnegatives import op11_hard_negatives
+from docflow.llm.language import op12_language
 from docflow.llm.licenses import op9_licenses
 from docflow.llm.neardup import op3_minhash_dedup
 from docflow.llm.packing import op8_packing
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_pii": op10_pii,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_language": op12_language,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
