@@ -19,35 +19,37 @@ from __future__ import annotations
 import itertools
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from docflow.llm.common import on_cluster_disk, read_documents
+from docflow.llm.flatwords import FlatLists, numbered, split_column, sums, text_parts
 
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP_SEQUENCES = 2048
 GROUP_ROWS = 1 << 17
-CACHED_WORDS = 600_000
-CACHED_CHARS = 64
+#: Words that a worker remembers, and bytes of text handled at once.
+REMEMBERED = 700_000
+PART_BYTES = 1 << 23
 #: A word of letters whose case and class no Unicode version changes, and punctuation behind it.
 LATIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{1,48})([.,;:!?#$%&*|()]{0,16})").fullmatch
 
 
 class WordIds:
-    """Token ids (little-endian uint32 bytes) of texts, by white-space separated words.
+    """Token ids of texts, by white-space separated words kept in one flat table.
 
     The tokenizer drops white space and never merges across it, so a text's ids are the ids of
     its words in order. It also splits a Latin word from punctuation behind it and ignores case,
-    so only bare words reach it, each once while it is cached; a full cache drops its oldest third.
+    so only bare words reach it, each once while it is remembered; a full table is begun anew.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -55,61 +57,74 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.cache: dict[str, bytes] = {"": b""}  # the empty word comes first and stays
-        self._in_use: set[str] = set()
-        self.mark = struct.unpack("<I", self._ids(["0"])[0])[0]
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _bare_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only: one text for many words, cut at the token of the digit between them."""
-        out: list[bytes] = []
+        self.mark = self.tokenizer.encode("0", add_special_tokens=False).ids[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = FlatLists(np.uint32)
+        self._add([""], np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.number.update(zip(words, range(self.ids.lists, self.ids.lists + len(words))))
+        self.ids.extend(ids, sizes)
+
+    def _learn_whole(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            own = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            self._add(part, np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32), np.array([len(i) for i in own], dtype=np.int64))
+
+    def _learn_bare(self, words: list[str]) -> None:
+        """Words of letters only: one text for many words, cut at the token of the digit between them."""
         for at in range(0, len(words), 1024):
-            text = " 0 ".join(words[at : at + 1024])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            raw, lo = ids.tobytes(), 0
-            for hi in (*np.flatnonzero(ids == self.mark).tolist(), len(ids)):
-                out.append(raw[4 * lo : 4 * hi])
-                lo = hi + 1
-        return out
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Cache the ids of new words; returns the very long ones, which the caller drops again."""
-        if len(self.cache) > CACHED_WORDS:
-            old = itertools.islice(self.cache, 1, len(self.cache) // 3)
-            for w in list(old):
-                del self.cache[w]
-            words = words | (self._in_use - self.cache.keys())
-        cache = self.cache
-        latin = []
-        whole = []
+            part = words[at : at + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([" 0 ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            marks = np.flatnonzero(ids == self.mark)
+            self._add(part, np.delete(ids, marks), np.diff(np.r_[-1, marks, len(ids)]) - 1)
+
+    def _learn(self, words: list[str]) -> None:
+        whole, joined = [], []
         for w in words:
             m = LATIN_WORD(w)
             if m is None:
                 whole.append(w)
             else:
-                stem, tail = m.groups()
-                latin.append((w, stem.lower(), tail))
-        bare = list({stem for _, stem, _ in latin}.difference(cache))
-        cache.update(zip(bare, self._bare_ids(bare)))
-        tails = list({tail for _, _, tail in latin}.difference(cache))
-        cache.update(zip(tails, self._ids(tails)))
-        cache.update(zip(whole, self._ids(whole)))
-        for w, stem, tail in latin:
-            cache[w] = cache[stem] + cache[tail]
-        return [w for w in whole if len(w) > CACHED_CHARS]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._in_use = set(itertools.chain.from_iterable(split))
-        missing = self._in_use.difference(self.cache)
-        long = self._learn(missing) if missing else []
-        ids = self.cache.__getitem__
-        out = [b"".join(map(ids, words)) for words in split]
-        for w in long:
-            del self.cache[w]
-        return out
+                joined.append((w, m[1].lower(), m[2]))
+        number = self.number
+        self._learn_bare([s for s in dict.fromkeys(s for _, s, _ in joined) if s not in number])
+        self._learn_whole([t for t in dict.fromkeys(t for _, _, t in joined) if t not in number])
+        self._learn_whole([w for w in whole if w not in number])
+        joined = [x for x in joined if x[0] not in number]
+        ids, sizes = self.ids.gather(np.array([[number[s], number[t]] for _, s, t in joined], dtype=np.int64).ravel())
+        self._add([w for w, _, _ in joined], ids, sizes.reshape(-1, 2).sum(axis=1))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        new = [w for w in words if w not in self.number]
+        if new:
+            if len(self.number) + len(new) > REMEMBERED or self.ids.used > 8 * REMEMBERED:
+                self._forget()
+                new = [w for w in words if w not in self.number]
+            self._learn(new)
+        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, first id of each text and the end); no text is null."""
+        edges, words = split_column(pc.replace_substring(texts, "\n", " "), " ")
+        which, distinct = numbered(words)
+        number = self._numbers(distinct)  # before the table is used: it may begin anew
+        ids, sizes = self.ids.gather(number[which])
+        return ids, np.r_[0, np.cumsum(sums(sizes, edges))]
+
+
+_words: list[tuple[int, WordIds]] = []
+
+
+def _worker_words(tokenizer_json: str) -> WordIds:
+    """The word table of this Python worker, which Spark uses for many tasks."""
+    if not _words or _words[0][0] != hash(tokenizer_json):
+        _words[:] = [(hash(tokenizer_json), WordIds(tokenizer_json))]
+    return _words[0][1]
 
 
 def pieces(docs: DataFrame, tokenizer_json: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
@@ -121,28 +136,25 @@ def pieces(docs: DataFrame, tokenizer_json: str, max_tokens: int = MAX_TOKENS, e
         fields.append(StructField("ids", BinaryType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(shared.value)
-        end = np.array([end_id], dtype="<u4").tobytes()
-        step = 4 * max_tokens
+        words = _worker_words(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows, piece, start, length, crc, kept = [], [], [], [], [], []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for row, ids in enumerate(words.encode(texts)):
-                    ids += end
-                    for k, lo in enumerate(range(0, len(ids), step)):
-                        own = ids[lo : lo + step]
-                        rows.append(row)
-                        piece.append(k)
-                        start.append(lo // 4)
-                        length.append(len(own) // 4)
-                        crc.append(zlib.crc32(own))
-                        if keep_ids:
-                            kept.append(own)
-                arrays = [part.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            texts = pc.fill_null(batch.column(1), "")
+            for row, stop in text_parts(texts, PART_BYTES):
+                ids, edges = words.encode(texts.slice(row, stop - row))
+                raw = memoryview(np.insert(ids, edges[1:], end_id).astype("<u4", copy=False)).cast("B")
+                begin = edges[:-1] + np.arange(stop - row)
+                length = np.diff(edges) + 1
+                count = -(-length // max_tokens)
+                owner = np.repeat(np.arange(stop - row), count)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * max_tokens
+                size = np.minimum(length[owner] - start, max_tokens)
+                lo = 4 * (begin[owner] + start)
+                own = [raw[a:b] for a, b in zip(lo.tolist(), (lo + 4 * size).tolist())]
+                crc = np.fromiter(map(zlib.crc32, own), dtype=np.int64, count=len(own))
+                arrays = [batch.column(0).take(pa.array(row + owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size), pa.array(crc)]
                 if keep_ids:
-                    arrays.append(pa.array(kept, pa.binary()))
+                    arrays.append(pa.array([bytes(x) for x in own], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in fields])
 
     return docs.select("doc_id", "text").mapInArrow(cut, StructType(fields))
@@ -189,15 +201,25 @@ def best_fit(need: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule:
     return out
 
 
+def scarcity(need: np.ndarray, capacity: np.ndarray) -> np.ndarray:
+    """Weight of each kind: the bins that its sum alone would fill, the scarcest kind 1."""
+    bins = need.sum(axis=0) / capacity
+    return bins / max(bins.max(initial=0.0), 1e-300)
+
+
 def pack(
     cut: DataFrame,
     max_tokens: int = MAX_TOKENS,
     max_documents: int = MAX_TOKENS,
     max_attention: int = MAX_TOKENS**2,
-    weights: tuple[float, float, float] = (1.0, 0.01, 0.01),
+    weights: tuple[float, float, float] | None = None,
     rule: str = "norm",
 ) -> DataFrame:
-    """``sequence_id`` and ``offset`` for every piece (attention cost of a piece: its length squared)."""
+    """``sequence_id`` and ``offset`` for every piece (attention cost of a piece: its length squared).
+
+    Every capacity holds in every sequence. A piece that exceeds one alone is an error, but for one of ``max_tokens``,
+    which is a sequence by itself. Without ``weights`` each kind weighs as scarce as it is in the group.
+    """
     cut = on_cluster_disk(cut.withColumn("row_number", F.monotonically_increasing_id()))
     total = cut.agg(F.sum("length").alias("tokens"), F.count("*").alias("rows")).first()
     groups = max(1, -(-(total["tokens"] or 0) // (max_tokens * GROUP_SEQUENCES)), -(-total["rows"] // GROUP_ROWS))
@@ -210,7 +232,8 @@ def pack(
     def fill(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row_number", ignore_index=True)
         length = group["length"].to_numpy(dtype=float)
-        bins = best_fit(np.column_stack([length, np.ones(len(length)), length * length]), capacity, np.array(weights), rule)
+        need = np.column_stack([length, np.ones(len(length)), length * length])
+        bins = best_fit(need, capacity, scarcity(need, capacity) if weights is None else np.array(weights), rule)
         order = np.lexsort((np.arange(len(bins)), bins))
         sizes = group["length"].to_numpy()[order]
         before = np.cumsum(sizes) - sizes

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,6 +18,11 @@ def words():
     return packing.WordIds(packing.tokenizer_file())
 
 
+def encode(words, texts):
+    ids, edges = words.encode(pa.array(texts, pa.string()))
+    return [ids[lo:hi].astype("<u4").tobytes() for lo, hi in zip(edges[:-1], edges[1:])]
+
+
 def whole(words, text):
     return np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -25,20 +31,20 @@ TEXTS = ["", " ", "it's they'll DON'T 's a's. x!!'s", "ÀÈ.. ß: ﬁ ½ 1st a0b
 
 
 def test_words_give_the_ids_of_whole_texts(words):
-    assert words.encode(TEXTS) == [whole(words, t) for t in TEXTS]
+    assert encode(words, TEXTS) == [whole(words, t) for t in TEXTS]
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="aAbé'sßIİ ΣΤ0.,!#\n\t́<|>中", max_size=40))
 def test_any_text(words, text):
-    assert words.encode([text]) == [whole(words, text)]
+    assert encode(words, [text]) == [whole(words, text)]
 
 
 def test_a_small_cache_changes_nothing(words, monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    monkeypatch.setattr(packing, "REMEMBERED", 5)
     own = packing.WordIds(packing.tokenizer_file())
     for _ in range(2):
-        assert own.encode(TEXTS) == [whole(own, t) for t in TEXTS]
+        assert encode(own, TEXTS) == [whole(own, t) for t in TEXTS]
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
@@ -85,3 +91,39 @@ def test_pack(documents, words):
     total = sum(r.length for r in got)
     assert len(by) <= -(-total // 4096) + 1
     assert packing.pack(packing.pieces(documents(rows).limit(0), packing.tokenizer_file())).count() == 0
+
+
+def plan(got):
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append(r.length)
+    return list(by.values())
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("caps", [{}, {"max_documents": 3}, {"max_attention": 3 * 500**2}, {"max_documents": 4, "max_attention": 2 * 700**2}])
+def test_each_capacity_binds(spark, caps, rule):
+    """Every piece is placed once, every capacity holds, and the number of sequences is near the bound of the scarcest one."""
+    rng = np.random.default_rng(5)
+    length = [int(n) for n in np.r_[rng.integers(1, 40, 300), rng.integers(300, 700, 300)]]
+    cut = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(length)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    bins = plan(packing.pack(cut, rule=rule, **caps).collect())
+    limit = {"max_tokens": 4096, "max_documents": 4096, "max_attention": 4096**2} | caps
+    assert sorted(n for b in bins for n in b) == sorted(length)
+    assert all(sum(b) <= limit["max_tokens"] and len(b) <= limit["max_documents"] and sum(n * n for n in b) <= limit["max_attention"] for b in bins)
+    bound = max(sum(length) / limit["max_tokens"], len(length) / limit["max_documents"], sum(n * n for n in length) / limit["max_attention"])
+    free = plan(packing.pack(cut, rule=rule).collect())
+    assert len(bins) <= 1.2 * bound + 1 and (not caps or len(bins) > len(free))
+
+
+def test_registered_query_needs_hardly_more_than_the_bound(spark):
+    sf = "/root/testdata/sf0.01"
+    got = packing.op8_packing(spark, sf).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    tokenizer = packing.WordIds(packing.tokenizer_file()).tokenizer
+    for r in got:
+        if r.doc_id % 9 == 0:
+            ids = np.array([*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1], dtype="<u4")[r.start : r.start + r.length]
+            assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
+    assert {r.doc_id for r in got} == set(texts)
+    assert len(plan(got)) <= 1.001 * -(-sum(r.length for r in got) // 4096)
