@@ -35,8 +35,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from docflow.llm.common import on_cluster_disk, read_documents
+from docflow.llm.common import read_documents
 from docflow.llm.flatwords import FlatLists, numbered, split_column, spread, sums, text_parts
+from docflow.session import scratch_path
 
 BLOCK_BYTES = 1 << 23
 #: Units that a worker remembers, and bytes of text given to a tokenizer at once.
@@ -415,7 +416,10 @@ def weigh(aligned: DataFrame, counts: DataFrame) -> DataFrame:
 
 def align_tokenizers(docs: DataFrame, tokenizer_json: str, model: bytes, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
-    aligned = on_cluster_disk(align(docs, tokenizer_json, model, block_bytes))
+    spark = docs.sparkSession
+    path = scratch_path(spark, "aligned")
+    align(docs, tokenizer_json, model, block_bytes).write.option("compression", "zstd").parquet(path)
+    aligned = spark.read.parquet(path)
     return weigh(aligned, pair_counts(aligned))
 
 
