@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from docflow.queries import QUERIES
+from __spark_entry__ import QUERIES
 from tools.compare import digest, duck
 
 SF = "/root/testdata/sf0.001"
