@@ -12,13 +12,15 @@ items that cannot be stored go to a quarantine folder beside the store, never no
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docflow.operators.upsert import INSERTED, UPDATED, fold_batches, merge_open, roll_up_open
-from docflow.sources.pages import page_items, typed_field
+from docflow.sources.pages import decode_pages, page_items, split_items, typed_field
 
 
 def crawl_documents(
@@ -73,22 +75,32 @@ def ingest_crawls(
     return with_fields(state, doc_schema, fields, key)
 
 
-def _store(spark, root: str, docs: DataFrame, bad: DataFrame, doc_schema, fields, order_by, time_col, key, buckets) -> int:
+def _store(spark, root: str, pages: DataFrame, keep: tuple[str, ...], doc_schema, fields, order_by, time_col, key, buckets, transaction=None) -> int:
+    """Upsert landed pages; each body is decoded once, for the items and the quarantine."""
     from docflow.sinks.files import write_batch
-    from docflow.sinks.keyed_store import upsert_keyed, versions
+    from docflow.sinks.keyed_store import committed, is_replay, upsert_keyed
 
-    committed = versions(spark, root)
-    write_batch(bad, quarantine_path(root), (committed[-1][0] if committed else 0) + 1)
-    rolled = with_fields(roll_up_open(docs, key, "doc", order_by, time_col), doc_schema, fields, key)
+    held = committed(spark, root)
+    if transaction is not None and is_replay(spark, root, transaction):
+        return held[-1].version
+    decoded = decode_pages(pages, keep=keep).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        docs, bad = split_items(decoded, doc_schema, keep, key=key)
+        number = transaction[1] if transaction is not None else (held[-1].version if held else 0) + 1
+        write_batch(bad, f"{quarantine_path(root)}/stream={quote(transaction[0], safe='') if transaction is not None else 'batch'}", number)
+        rolled = with_fields(roll_up_open(docs, key, "doc", order_by, time_col), doc_schema, fields, key)
 
-    def combine(current: DataFrame, delta: DataFrame) -> DataFrame:
-        return with_fields(merge_open(_state(current, key), _state(delta, key), key), doc_schema, fields, key)
+        def combine(current: DataFrame, delta: DataFrame) -> DataFrame:
+            return with_fields(merge_open(_state(current, key), _state(delta, key), key), doc_schema, fields, key)
 
-    return upsert_keyed(spark, root, rolled, key, fields, buckets, combine=combine)
+        return upsert_keyed(spark, root, rolled, key, fields, buckets, combine=combine, transaction=transaction)
+    finally:
+        decoded.unpersist()
 
 
 def quarantine_path(root: str) -> str:
-    """Folder of what the upserts into the store at `root` could not store, one subfolder for each version."""
+    """Folder of what the upserts into the store at `root` could not store: `stream=S/batch_id=N`, by batch
+    of a stream, or by version for crawls ingested in batch."""
     return root.rstrip("/") + "_quarantine"
 
 
@@ -104,8 +116,8 @@ def ingest_crawl_into_store(
     buckets: int | None = None,
 ) -> int:
     """Unwrap one crawl, roll it up per key and upsert it into the bucketed keyed store."""
-    docs, bad = crawl_documents(pages, doc_schema, crawl_time, seq, key)
-    return _store(spark, root, docs, bad, doc_schema, fields, ["__t", "__seq", "page"], "__t", key, buckets)
+    timed = pages.withColumns({"__t": crawl_time, "__seq": F.lit(seq)})
+    return _store(spark, root, timed, ("page", "__t", "__seq"), doc_schema, fields, ["__t", "__seq", "page"], "__t", key, buckets)
 
 
 def pages_batch_writer(
@@ -115,15 +127,19 @@ def pages_batch_writer(
     time_col: str = "crawled_at",
     key: str = "_id",
     buckets: int | None = None,
+    stream_id: str | None = None,
 ):
     """foreachBatch function: landed pages (page, `time_col`, body) -> keyed store upsert.
 
-    Items are ordered by (crawl time, page) within the batch. Replaying a batch is
-    harmless: merging the same roll-up twice gives the same store contents.
+    Items are ordered by (crawl time, page) within the batch. The version carries (stream id, batch id), so a
+    replayed batch is recognised: it gives no new version and no second quarantine copy. The
+    stream id is by default the id of the running query, which its checkpoint keeps over restarts (a new
+    checkpoint counts batches from 0 again and is another stream); outside a query it is `direct`.
     """
 
     def fn(batch_df: DataFrame, batch_id: int) -> None:
-        docs, bad = page_items(batch_df, doc_schema, keep=("page", time_col), key=key)
-        _store(batch_df.sparkSession, root, docs, bad, doc_schema, fields, [time_col, "page"], time_col, key, buckets)
+        spark = batch_df.sparkSession
+        stream = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        _store(spark, root, batch_df, ("page", time_col), doc_schema, fields, [time_col, "page"], time_col, key, buckets, (stream, batch_id))
 
     return fn

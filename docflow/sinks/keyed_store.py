@@ -1,44 +1,51 @@
 """Keyed document store on files: versioned, bucketed by key, upserted by merge.
 
-Each version is a Parquet directory `root/v=N_b=B`, written bucketed (``bucketBy``)
+Each version is a Parquet directory `root/v=N_b=B_t=<writer>`, written bucketed (``bucketBy``)
 into B buckets by the key and registered as an external table. Because the stored
 side is already hash-partitioned by the key, merging a rolled-up delta into it is a
 sort-merge join that shuffles only the delta. The bucket count is part of the
-directory name, so a later session declares the table with the count it was
+version's log entry, so a later session declares the table with the count it was
 written with (a wrong count would silently mis-partition the join). A version is
-current once its write committed (``_SUCCESS``): readers never see a half-written
-version, and a failed upsert can simply be run again. Older versions stay until
-the caller removes them.
+current once its log entry is published (``docflow.sinks.store_log``): readers never see a half-written
+version, a failed upsert can simply be run again, and of two writers of one version the second fails.
+A version `v=N_b=B` without a log entry, as earlier releases wrote them, counts once it holds ``_SUCCESS``.
+Older versions stay until ``docflow.sinks.retention`` removes them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-from docflow.operators.upsert import UPDATED, merge, merge_fields
+from docflow.operators.upsert import merge, merge_fields
+from docflow.sinks import store_log
+from docflow.sinks.store_log import Entry
 
 _VERSION = re.compile(r"^v=(\d+)_b=(\d+)$")
 
 
+def committed(spark: SparkSession, root: str) -> list[Entry]:
+    """Committed versions under `root`, oldest first."""
+    logged = store_log.entries(spark, root)
+    known = {e.version for e in logged}
+    fs, p, jvm = store_log.file_system(spark, root)
+    old = []
+    for st in fs.listStatus(p) if fs.exists(p) else []:
+        m = _VERSION.match(st.getPath().getName())
+        if st.isDirectory() and m and int(m[1]) not in known and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            old.append(Entry(int(m[1]), m[0], int(m[2])))
+    return sorted([*old, *logged], key=lambda e: e.version)
+
+
 def versions(spark: SparkSession, root: str) -> list[tuple[int, int]]:
     """Committed (version, buckets) pairs under `root`, oldest first."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if st.isDirectory() and m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append((int(m.group(1)), int(m.group(2))))
-    return sorted(out)
+    return [(e.version, e.buckets) for e in committed(spark, root)]
 
 
 def _refuse_unmarked(spark: SparkSession, root: str) -> None:
@@ -54,36 +61,33 @@ def _refuse_unmarked(spark: SparkSession, root: str) -> None:
                 raise RuntimeError(f"{st.getPath()} holds data without _SUCCESS; the store needs the committer's success markers")
 
 
-def _path(root: str, version: int, buckets: int) -> str:
-    return f"{root.rstrip('/')}/v={version}_b={buckets}"
+def _path(root: str, directory: str) -> str:
+    return f"{root.rstrip('/')}/{directory}"
 
 
-def _table(root: str, version: int) -> str:
-    return f"docflow_store_{hashlib.sha1(root.encode()).hexdigest()[:10]}_v{version}"
+def _table(root: str, directory: str) -> str:
+    return f"docflow_store_{hashlib.sha1(_path(root, directory).encode()).hexdigest()[:16]}"
 
 
-def _register(spark: SparkSession, root: str, version: int, buckets: int, key: str) -> str:
+def _register(spark: SparkSession, root: str, entry: Entry, key: str) -> str:
     """(Re)declare a version as an external bucketed table (metadata only, no data moves)."""
-    name = _table(root, version)
+    name = _table(root, entry.directory)
     if not spark.catalog.tableExists(name):
-        path = _path(root, version, buckets)
+        path = _path(root, entry.directory)
         schema = spark.read.parquet(path).schema
         cols = schema.toDDL()  # quotes nested names such as $date
         path = path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) "
-            f"INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"INTO {entry.buckets} BUCKETS LOCATION '{path}'"
         )
     return name
 
 
 def read_keyed(spark: SparkSession, root: str, key: str, version: int | None = None) -> DataFrame | None:
     """Current (or the given) version as a bucketed table scan, or None when there is none."""
-    vs = [v for v in versions(spark, root) if version is None or v[0] == version]
-    if not vs:
-        return None
-    version, buckets = vs[-1]
-    return spark.table(_register(spark, root, version, buckets, key))
+    found = [e for e in committed(spark, root) if version is None or e.version == version]
+    return spark.table(_register(spark, root, found[-1], key)) if found else None
 
 
 def _ordered(value: Column, kind: DataType) -> Column:
@@ -105,7 +109,7 @@ def store_changes(spark: SparkSession, root: str, key: str, version: int | None
     A key that the version before did not hold is an insert, another `updated_at` or any other
     difference of the document an update (several versions may share a time: pages of one crawl in
     several micro-batches). Both versions are bucketed by the key, so with equal bucket counts the
-    join has no shuffle.
+    join has no shuffle. A version whose predecessor was removed is an error: what changed is not known then.
     """
     vs = versions(spark, root)
     if not vs:
@@ -116,6 +120,8 @@ def store_changes(spark: SparkSession, root: str, key: str, version: int | None
         raise ValueError(f"{root} holds no version {version}")
     before = read_keyed(spark, root, key, version - 1)
     document = F.struct(*after.columns).alias("fullDocument")
+    if before is None and version > 1:
+        raise ValueError(f"version {version - 1} of {root} was removed: the changes of version {version} cannot be told")
     if before is None:
         return after.select(F.lit("insert").alias("operationType"), document)
     held = [f for f in before.schema.fields if f.name != key]
@@ -132,6 +138,31 @@ def store_changes(spark: SparkSession, root: str, key: str, version: int | None
     return changed.select(F.when(inserted, F.lit("insert")).otherwise(F.lit("update")).alias("operationType"), document)
 
 
+def write_version(
+    spark: SparkSession, root: str, content: DataFrame, key: str, base: Entry | None, buckets: int, operation: str = "merge", transaction: tuple[str, int] | None = None
+) -> int:
+    """Write `content` as the version after `base` and publish it; ConcurrentWrite if another writer was first."""
+    number = base.version + 1 if base else 1
+    directory = f"v={number}_b={buckets}_t={uuid.uuid4().hex[:12]}"
+    streams = dict(base.streams) if base else {}
+    if transaction is not None:
+        streams[transaction[0]] = int(transaction[1])
+    name = _table(root, directory)
+    content.write.bucketBy(buckets, key).sortBy(key).option("path", _path(root, directory)).saveAsTable(name)
+    try:
+        store_log.publish(spark, root, Entry(number, directory, buckets, operation, streams))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: drops metadata only; retention removes the data
+        raise
+    return number
+
+
+def is_replay(spark: SparkSession, root: str, transaction: tuple[str, int]) -> bool:
+    """Whether the store already holds this batch of this stream, or a later one."""
+    held = committed(spark, root)
+    return bool(held) and held[-1].streams.get(transaction[0], -1) >= int(transaction[1])
+
+
 def upsert_keyed(
     spark: SparkSession,
     root: str,
@@ -141,34 +172,29 @@ def upsert_keyed(
     buckets: int | None = None,
     presence: bool = False,
     combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    transaction: tuple[str, int] | None = None,
 ) -> int:
     """Merge a rolled-up `delta` (``roll_up`` / ``roll_up_fields`` output) into the store.
 
     Writes the next version and returns its number. `buckets`: None keeps the store's
     count (a new store takes ``spark.sql.shuffle.partitions``, so the delta's shuffle
     already matches); a different count re-buckets, which shuffles the stored side once.
-    `presence` selects field-level ``$set`` merging, `combine` any other merge of (current, delta). One writer at a time: two upserts at once
-    would compute the same next version.
+    `presence` selects field-level ``$set`` merging, `combine` any other merge of (current, delta).
+    `transaction`, (stream id, batch id), is written with the version. A batch that the store holds already is
+    skipped, and the current version's number returned. Of two upserts at once the second raises ConcurrentWrite.
     """
     _refuse_unmarked(spark, root)
-    vs = versions(spark, root)
+    held = committed(spark, root)
+    base = held[-1] if held else None
+    if base and transaction is not None and base.streams.get(transaction[0], -1) >= int(transaction[1]):
+        return base.version
     if buckets is None:
-        buckets = vs[-1][1] if vs else int(spark.conf.get("spark.sql.shuffle.partitions"))
-    current = read_keyed(spark, root, key)
+        buckets = base.buckets if base else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = read_keyed(spark, root, key, base.version) if base else None
     if current is None:
         merged = delta
     elif combine is not None:
         merged = combine(current, delta)
     else:
         merged = (merge_fields if presence else merge)(current, delta, key, fields)
-    nxt = (vs[-1][0] + 1) if vs else 1
-    name = _table(root, nxt)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: drops metadata of a failed try only
-    (
-        merged.write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .option("path", _path(root, nxt, buckets))
-        .saveAsTable(name)
-    )
-    return nxt
+    return write_version(spark, root, merged, key, base, buckets, transaction=transaction)

@@ -35,6 +35,23 @@ def page_unwrap(
 ITEMS = "data ARRAY<MAP<STRING, STRING>>"
 
 
+def decode_pages(pages: DataFrame, body_col: str = "body", keep: tuple[str, ...] = ("page",)) -> DataFrame:
+    """``keep``, the items of each page as maps, and the text and reason of a page without items to decode.
+
+    The one decode of each body; what reads the result twice should persist it. The generator keeps filters on the
+    decoded columns above the decode.
+    """
+    body, text = F.col(body_col), F.col("__body")
+    why = (
+        F.when(text.isNull(), F.lit("null_input"))
+        .when(F.try_parse_json(text).isNull(), F.lit("malformed_page"))
+        .otherwise(F.lit("no_data"))
+    )
+    decoded = pages.select(*keep, F.inline(F.array(F.struct(F.from_json(body, ITEMS).getField("data").alias("__data"), body.alias("__body")))))
+    unread = F.col("__data").isNull()
+    return decoded.select(*keep, "__data", F.when(unread, text).alias("__raw"), F.when(unread, why).alias("__reason"))
+
+
 def page_items(
     pages: DataFrame,
     doc_schema: StructType,
@@ -50,16 +67,15 @@ def page_items(
     cannot be stored, with the reason: a page that does not decode or has no `data`, and an item
     without a readable key. A page with an empty `data` array gives no rows on either side.
     """
-    data = F.from_json(F.col(body_col), ITEMS).getField("data")
+    return split_items(decode_pages(pages, body_col, keep), doc_schema, keep, id_field, key)
+
+
+def split_items(decoded: DataFrame, doc_schema: StructType, keep: tuple[str, ...] = ("page",), id_field: str = "id", key: str = "_id") -> tuple[DataFrame, DataFrame]:
+    """(items, quarantine) of ``decode_pages`` output."""
     key_type = doc_schema[id_field].dataType
-    exploded = pages.select(*keep, F.explode(data).alias("__d"))
+    exploded = decoded.select(*keep, F.explode("__data").alias("__d"))
     items = exploded.select(*keep, typed_field(F.col("__d"), id_field, key_type).alias(key), F.map_filter("__d", lambda k, v: k != id_field).alias("doc"))
-    reason = (
-        F.when(F.col(body_col).isNull(), F.lit("null_input"))
-        .when(F.try_parse_json(F.col(body_col)).isNull(), F.lit("malformed_page"))
-        .otherwise(F.lit("no_data"))
-    )
-    bad_pages = pages.filter(data.isNull()).select(*keep, F.col(body_col).alias("raw_value"), reason.alias("reason"))
+    bad_pages = decoded.filter(F.col("__reason").isNotNull()).select(*keep, F.col("__raw").alias("raw_value"), F.col("__reason").alias("reason"))
     keyless = exploded.filter(typed_field(F.col("__d"), id_field, key_type).isNull())
     bad_items = keyless.select(*keep, F.to_json("__d").alias("raw_value"), F.lit("missing_or_invalid_key").alias("reason"))
     return items.filter(F.col(key).isNotNull()), bad_pages.unionByName(bad_items)

@@ -36,6 +36,20 @@ def run_stream(
     return w.start()
 
 
+def drain(query: StreamingQuery) -> None:
+    """Let a query with back-to-back micro-batches take all that is there, then stop it; its error is raised here.
+
+    For sources with a limit a micro-batch of their own (``store_versions``, ``topic_ranges``), which under
+    ``availableNow`` plan the end once and stop after the first limited batch.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def decode_to(
     schema: StructType,
     write_valid: BatchFn,
