@@ -21,6 +21,7 @@ empty table gives no rows; other columns are passed over, whatever their names.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,22 +131,51 @@ def _votes(kind: str, c: Column) -> list[Column]:
 
 
 _FOUND = "array<struct<start:int,end:int,word:string,before:string,after:string>>"
+#: Code points of a piece of a long text.
+PIECE = 1024
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with ``value`` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _before(values: Column, zero: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each element of an array, its predecessors joined (``zero`` for the first).
+
+    In blocks of about the cube root of the length: the totals of the blocks before, then those in the same
+    block, so n elements take n**(4/3) steps, not n**2.
+    """
+
+    def blocks(v: Column) -> Column:
+        return _once(F.ceil(F.cbrt(F.size(v) * F.lit(2.0))).cast("int"), lambda b: in_blocks(v, b))
+
+    def in_blocks(v: Column, b: Column) -> Column:
+        number = F.sequence(F.lit(0), F.ceil(F.size(v) / b).cast("int") - 1)
+        totals = F.transform(number, lambda k: F.aggregate(F.slice(v, k * b + 1, b), zero, join))
+        return _once(totals, lambda t: _once(F.transform(t, lambda _, k: F.aggregate(F.slice(t, F.lit(1), k), zero, join)), lambda base: single(v, b, base)))
+
+    def single(v: Column, b: Column, base: Column) -> Column:
+        at = lambda i: F.floor(i / b).cast("int")
+        return F.transform(v, lambda _, i: F.aggregate(F.slice(v, at(i) * b + 1, i % b), F.get(base, at(i)), join))
+
+    return _once(values, lambda v: F.when(F.size(v) > 0, blocks(v)).otherwise(v))
 
 
 def _found(words: Column, gaps: Column) -> Column:
     """Places and surroundings of matches, from the matches and the text between them."""
-    empty = F.array().cast(_FOUND)
+    steps = F.transform(words, lambda w, i: F.length(F.get(gaps, i)) + F.length(w))
 
-    def step(acc: Column, i: Column) -> Column:
-        gap, word = F.get(gaps, i), F.get(words, i)
-        start = acc["at"] + F.length(gap)
-        end = start + F.length(word)
-        one = F.struct(start.alias("start"), end.alias("end"), word.alias("word"), F.right(gap, F.lit(CONTEXT)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"))
-        return F.struct(F.concat(acc["out"], F.array(one)).alias("out"), end.alias("at"))
+    def place(at: Column) -> Column:
+        def one(word: Column, i: Column) -> Column:
+            gap = F.get(gaps, i)
+            start = F.get(at, i) + F.length(gap)
+            return F.struct(start.alias("start"), (start + F.length(word)).alias("end"), word.alias("word"), F.right(gap, F.lit(CONTEXT)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"))
 
-    start = F.struct(empty.alias("out"), F.lit(0).alias("at"))
-    places = F.aggregate(F.sequence(F.lit(0), F.size(words) - 1), start, step, lambda acc: acc["out"])
-    return F.when(F.size(words) > 0, places).otherwise(empty)
+        return F.transform(words, one)
+
+    places = _once(_before(steps, F.lit(0), lambda x, y: x + y), place)
+    return F.when(F.size(words) > 0, places).otherwise(F.array().cast(_FOUND))
 
 
 def candidates(docs: DataFrame, out: str = "pii_candidates") -> DataFrame:
@@ -171,7 +201,8 @@ def candidates(docs: DataFrame, out: str = "pii_candidates") -> DataFrame:
 
 def pattern_counts(found: DataFrame, column: str = "pii_candidates") -> list[tuple[int, tuple, int]]:
     """(kind, votes, number) of every pattern of votes: 81 for each kind at most."""
-    one = found.select(F.explode(column).alias("c"))
+    # the filter that an inner explode infers would find all matches again, and again for each match
+    one = found.select(F.explode_outer(column).alias("c")).filter(F.col("c").isNotNull())
     rows = one.groupBy("c.kind", *[f"c.{n}" for n in LABELERS]).agg(F.count("*").alias("n")).orderBy("kind", *LABELERS).collect()
     return [(r["kind"], tuple(r[n] for n in LABELERS), r["n"]) for r in rows]
 
@@ -255,20 +286,31 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda c: F.concat_ws(":", F.get(names, c["kind"]), c["start"].cast("string"), c["end"].cast("string"))), ",")
 
 
+def _cut(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points start to end (exclusive) of a text in pieces of ``PIECE`` of them; never counts from the text's begin."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    inside = F.substring(F.get(pieces, first), start % PIECE + 1, end - start)
+    across = F.concat(
+        F.substring(F.get(pieces, first), start % PIECE + 1, F.lit(PIECE)),
+        F.array_join(F.slice(pieces, first + 2, last - first - 1), ""),
+        F.substring(F.get(pieces, last), F.lit(1), end - last * PIECE),
+    )
+    return F.when(end <= start, F.lit("")).when(first == last, inside).otherwise(across)
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span, or run of spans that overlap, replaced by the name of its first kind in brackets."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     placed = F.array_sort(F.transform(spans, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))))
+    pieces = F.when(F.length(text) <= PIECE, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
 
-    def step(acc: Column, c: Column) -> Column:
-        fresh = c["start"] >= acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, c["start"] - acc["at"]), F.get(names, c["kind"]))
-        return F.struct(F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"), F.greatest(acc["at"], c["end"]).alias("at"))
+    def joined(p: Column, s: Column, reach: Column) -> Column:
+        """reach: the farthest end of the spans before each; a span that starts there or behind it begins a run."""
+        shown = F.transform(s, lambda c, i: F.when(c["start"] >= F.get(reach, i), F.concat(_cut(p, F.get(reach, i), c["start"]), F.get(names, c["kind"]))).otherwise(F.lit("")))
+        return F.concat(F.array_join(shown, ""), _cut(p, F.array_max(F.transform(s, lambda c: c["end"])), F.length(text)))
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.aggregate(placed, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    )
+    out = _once(pieces, lambda p: _once(placed, lambda s: _once(_before(F.transform(s, lambda c: c["end"]), F.lit(0), lambda x, y: F.greatest(x, y)), lambda reach: joined(p, s, reach))))
+    return F.when(F.size(spans) == 0, text).otherwise(out)
 
 
 def redact(docs: DataFrame) -> DataFrame:

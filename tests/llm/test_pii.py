@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,21 @@ def test_empty_table_and_columns(spark, documents):
 
 def test_digest(spark):
     assert spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0] == hashlib.sha256(b"").hexdigest()
+
+
+def test_places_and_redaction_of_very_many_matches(spark):
+    """100,000 matches in one text, in pieces of every kind, take seconds."""
+    part = "é\U0001f600 mail a.b@c.org, host 10.1.2.3; " * 3 + "x" * 700 + " "
+    text = part * 17000
+    found = pii.candidates(spark.createDataFrame([(1, text), (2, part), (3, "")], "doc_id long, text string"))
+    weights = pii.train(found)
+    began = time.time()
+    rows = found.select("doc_id", pii.written(pii.accepted(weights)).alias("s"), pii.redacted(F.col("text"), pii.accepted(weights)).alias("clean")).collect()
+    assert time.time() - began < 60
+    got = {r.doc_id: r for r in rows}
+    own = [(kind, int(a), int(b)) for kind, a, b in (x.split(":") for x in brute(part))]
+    for i, t, n in ((1, text, 17000), (2, part, 1)):
+        spans = [f"{kind}:{a + k * len(part)}:{b + k * len(part)}" for name in ("email", "ip") for k in range(n) for kind, a, b in own if kind == name]
+        assert got[i].s == ",".join(spans) and len(spans) == 6 * n
+        assert got[i].clean == t.replace("a.b@c.org", "[EMAIL]").replace("10.1.2.3", "[IP]")
+    assert got[3].clean == ""
