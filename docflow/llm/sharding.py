@@ -6,9 +6,15 @@ corpus holds. The map from slots to shards is a small table with versions: versi
 slots out in turn, and a rebalance writes the next version, in which only the slots that had
 to move have changed. Records never carry a shard; they get it by a join with the map.
 
+A slot is the unit that moves, so equal rows (one id, one text) must not fill one: where a slot holds more than
+a small part of a shard, each copy of a row that repeats in bulk there is dealt to a slot of its own, by its
+row number. Copies then spread over all slots, and so over shards and tasks. Equal texts
+under different ids hash apart anyway.
+
 Defined results: a null text has size 16 and the crc of no bytes; null ids are hashed like any
-value; rows that repeat count every time; an empty table gives an empty result; columns beyond
-doc_id and text are ignored, whatever their names. Native DataFrame code throughout.
+value; rows that repeat count every time; an empty table gives an empty result; ties (equal rows) take
+their places in any order; columns beyond doc_id and text are ignored, whatever their names. Native DataFrame
+code throughout.
 """
 
 from __future__ import annotations
@@ -17,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOTS = 8192
+#: A slot may hold this part of a shard before rows that repeat in it are dealt out.
+SHARE = 64
 ROW_BYTES = 16
 MAP_SCHEMA = "version int, slot int, shard int"
 
@@ -33,6 +41,26 @@ def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     return sized.withColumn("virtual_slot", slot)
 
 
+def spread_copies(recs: DataFrame, sizes: list, shards: int, slots: int = SLOTS) -> DataFrame | None:
+    """``recs`` with the copies of bulky rows in slots of their own, or None if no slot is crowded.
+
+    ``sizes``: rows of ``slot_sizes``; ``recs`` holds a ``row_id``. A crowded slot has more than 1/SHARE of a shard's
+    bytes, so there are at most SHARE * shards; a bulky row half of that in its copies, so there are at most twice as many:
+    both sets may be broadcast. The copies are counted by an aggregate that combines before the shuffle.
+    """
+    limit = sum(r["bytes"] for r in sizes) / (SHARE * shards)
+    crowded = [(r["virtual_slot"],) for r in sizes if r["bytes"] > limit and r["rows"] > 1]
+    if not crowded:
+        return None
+    in_crowd = recs.join(F.broadcast(recs.sparkSession.createDataFrame(crowded, "virtual_slot int")), "virtual_slot")
+    counted = in_crowd.groupBy("virtual_slot", "doc_id", "text_crc32").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    bulky = counted.filter((F.col("bytes") > limit / 2) & (F.col("rows") > 1)).select(F.col("virtual_slot").alias("of_slot"), F.col("doc_id").alias("of_id"), F.col("text_crc32").alias("of_crc"), F.lit(True).alias("bulky"))
+    same = (F.col("virtual_slot") == F.col("of_slot")) & F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_crc32") == F.col("of_crc"))
+    own = F.pmod(F.xxhash64("doc_id", "text_crc32", "row_id"), F.lit(slots)).cast("int")
+    marked = recs.join(F.broadcast(bulky), same, "left")
+    return marked.withColumn("virtual_slot", F.when(F.col("bulky"), own).otherwise(F.col("virtual_slot"))).select(*recs.columns)
+
+
 def slot_sizes(recs: DataFrame) -> DataFrame:
     """Bytes and rows of every slot that has rows (at most one row for each slot)."""
     return recs.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
@@ -70,7 +98,7 @@ def rebalance(shard_of: list[int], weight: list[int], shards: int) -> list[int]:
 
     for slot in sorted(homeless, key=lambda s: (-weight[s], s)):
         move(slot, min(range(shards), key=lambda x: (load[x], x)))
-    for _ in range(4 * len(out)):
+    while True:  # every step brings two shards nearer to each other, so there is a last one
         high = max(range(shards), key=lambda x: (load[x], -x))
         low = min(range(shards), key=lambda x: (load[x], x))
         gap = load[high] - load[low]
@@ -131,10 +159,17 @@ def place(recs: DataFrame, slot_map: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def shard_documents(docs: DataFrame, root: str, shards: int, slots: int = SLOTS) -> DataFrame:
     """Balance bytes over ``shards``: slots, their bytes, map versions 1 and 2 under ``root``, and every row's place."""
+    from docflow.llm.common import on_cluster_disk
+
     spark = docs.sparkSession
-    recs = records(docs, slots)
-    sizes = slot_sizes(recs)
-    rows = sizes.collect()  # one row for each slot at most
+    # numbered once, on shared disk: a copy has the same number in every pass and after a lost executor
+    recs = on_cluster_disk(records(docs, slots).withColumn("row_id", F.monotonically_increasing_id()))
+    rows = slot_sizes(recs).collect()  # one row for each slot at most
+    dealt = spread_copies(recs, rows, shards, slots)
+    if dealt is not None:
+        recs = dealt
+        rows = slot_sizes(recs).collect()
+    recs = recs.drop("row_id")
     weight = [0] * slots
     for r in rows:
         weight[r["virtual_slot"]] = r["bytes"]
