@@ -1,14 +1,16 @@
-"""MinHash near duplicates by prefix groups of 16 trees, confirmed on full shingle sets.
+"""MinHash near duplicates by an LSH forest of 16 sorted orders, confirmed on full shingle sets.
 
 A text's set holds its distinct word shingles. Texts with equal sets are one class, and the work
-below is on one member of each. ``SLOTS`` minhashes make ``TREES`` trees of 16. No tree is sorted and
-no longest common prefix is computed: texts that share a hash of a tree's first ``2`` minhashes form a
-region, and in a region of more than ``CROWD`` members those that share the first ``3``. All members of
-a region are candidates, so the regions hold every pair that neighbours in sorted orders with a
-common prefix of that depth would, in whatever place of the order. No region goes deeper, as each
-level costs recall: a pair at similarity 0.8 shares d minhashes of one tree with probability 0.8**d and
+below is on one member of each. ``SLOTS`` minhashes make ``TREES`` trees of 16. Every tree is an order: its
+members are sorted by their minhashes, over all tasks by ranges, and in this order each member gets the length of
+the longest common prefix with its neighbours. A region is a run of neighbours with a common prefix of at least
+``SHALLOW`` minhashes, and its members are candidates; who has no such neighbour is alone in the tree. Depth adapts
+to the region: a run of more than ``CROWD`` members is cut where the common prefix is shorter than one more minhash,
+down to ``DEEP``. A run that crosses a border between two tasks is one region, as its prefix names it. Deeper levels
+would cost recall: a pair at similarity 0.8 shares d minhashes of one tree with probability 0.8**d and
 is missed by all 16 with (1 - 0.8**d)**16, which is about 1 in 100,000 at d = 3, 1 in 5,000 at d = 4 and
-1 in 600 at d = 5. The other 13 minhashes of a tree order nothing; they serve the sketch only.
+1 in 600 at d = 5. So only pairs in crowded regions that share two minhashes in every one of their trees' common
+runs, and three in none, are lost: 1 in 100,000 at the threshold, and fewer above it.
 
 Crowded regions are not compared pair by pair. A region elects its most typical member, the one
 whose sketch agrees most with the region's majority, through blocks of bounded size; a member's
@@ -41,7 +43,8 @@ from docflow.llm.textwords import NON_SPACE, grams, mix, text_blocks, words_of
 
 TREES = 16
 SLOTS = 256
-CROWD = 64  # a depth-2 region with more members is split by the third minhash
+SHALLOW, DEEP = 2, 3  # least common prefix of a region, and the least in a crowded one
+CROWD = 64  # a region with more members goes one minhash deeper
 BLOCK = 512  # members compared by sketch at once
 SET_BLOCK = 256  # members compared by full set at once
 SLACK = 0.12  # sketches this far below the threshold still go to the full sets (5 standard errors)
@@ -69,15 +72,14 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, two keys of the set, both prefixes of every tree, and the sketch (a byte for each minhash)."""
-    long_list = ArrayType(LongType(), False)
+    """doc_id, n_shingles, two keys of the set, its place in every order (the first minhashes of a tree, as sortable bytes), and the sketch (a byte for each minhash)."""
     schema = StructType(
         [
             StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("key", LongType()), StructField("key2", LongType()),
-            StructField("two", long_list), StructField("three", long_list), StructField("sketch", BinaryType()),
+            StructField("orders", ArrayType(BinaryType(), False)), StructField("sketch", BinaryType()),
         ]
     )
-    kind = pa.list_(pa.field("element", pa.int64(), False))
+    kind = pa.list_(pa.field("element", pa.binary(), False))
     step = SLOTS // TREES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,16 +93,15 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     key2.append(mix(s ^ np.uint64(0x632BE59BD9B4E019)).sum(dtype=np.uint64))
                     least.append(minhashes(s))
                 least = np.array(least, dtype=np.uint32).reshape(-1, SLOTS)
-                wide = least.astype(np.uint64)
-                two = mix((wide[:, ::step] << np.uint64(32)) | wide[:, 1::step])
-                three = mix(two ^ (wide[:, 2::step] * np.uint64(0x9E3779B97F4A7C15)))
-                edges = pa.array(np.arange(len(n) + 1, dtype=np.int32) * TREES)
-                as_list = lambda x: pa.ListArray.from_arrays(edges, pa.array(x.ravel().view(np.int64)), type=kind)
+                places = np.ascontiguousarray(least.reshape(len(n), TREES, step)[:, :, :DEEP].astype(">u4")).tobytes()
+                edges = np.arange(len(n) * TREES + 1, dtype=np.int32) * (4 * DEEP)
+                flat = pa.Array.from_buffers(pa.binary(), len(n) * TREES, [None, pa.py_buffer(edges), pa.py_buffer(places)])
+                orders = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * TREES), flat, type=kind)
                 sketch = np.ascontiguousarray((least & 0xFF).astype(np.uint8))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0), pa.array(n, pa.int64()), pa.array(np.array(key, dtype=np.uint64).view(np.int64)), pa.array(np.array(key2, dtype=np.uint64).view(np.int64)),
-                        as_list(two), as_list(three), pa.array([r.tobytes() for r in sketch], pa.binary()),
+                        orders, pa.array([r.tobytes() for r in sketch], pa.binary()),
                     ],
                     names=schema.names,
                 )
@@ -108,18 +109,61 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def regions(reps: DataFrame) -> DataFrame:
-    """(tree, region, node, size): members of every region with two or more."""
-    rows = reps.select("node", F.posexplode(F.arrays_zip("two", "three")).alias("tree", "p")).select("tree", "node", "p.two", "p.three")
+def common_prefix(tree: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Minhashes that each row of an order shares from the start with the row before (the first row: none)."""
+    same = (place[1:] == place[:-1]) & (tree[1:] == tree[:-1])[:, None]
+    return np.r_[0, np.minimum.accumulate(same, axis=1).sum(axis=1)]
+
+
+def forest(reps: DataFrame) -> DataFrame:
+    """(tree, place, node): the members of every order that share ``SHALLOW`` minhashes with a neighbour.
+
+    Sorted by ranges of (tree, place, node), so even a run of equal places is spread over tasks. The first and
+    the last row of a task have neighbours elsewhere and stay; their region decides.
+    """
+    rows = reps.select("node", F.posexplode("orders").alias("tree", "place")).select("tree", "place", "node")
+    ordered = rows.repartitionByRange("tree", "place", "node").sortWithinPartitions("tree", "place", "node")
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A batch waits for the next one, whose first row its last row is compared with."""
+        held, before = None, DEEP
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is None:
+                held = batch
+                continue
+            keep, before = linked(held, before, batch.slice(0, 1))
+            yield keep
+            held = batch
+        if held is not None:
+            yield linked(held, before, None)[0]
+
+    def linked(batch: pa.RecordBatch, before: int, after: pa.RecordBatch | None) -> tuple[pa.RecordBatch, int]:
+        """Rows with a near neighbour, and the prefix that the last row shares with the row behind it."""
+        seen = pa.Table.from_batches([batch] if after is None else [batch, after]).combine_chunks()
+        place = np.frombuffer(b"".join(seen.column("place").to_pylist()), dtype=">u4").reshape(-1, DEEP)
+        prefix = np.r_[common_prefix(seen.column("tree").to_numpy(), place), DEEP]
+        prefix[0] = before
+        near = np.maximum(prefix[:-1], prefix[1:]) >= SHALLOW
+        return batch.filter(pa.array(near[: batch.num_rows])), int(prefix[batch.num_rows])
+
+    return ordered.mapInArrow(neighbours, rows.schema)
 
-    def sized(df: DataFrame) -> DataFrame:
-        sizes = df.groupBy("tree", "region").agg(F.count("*").alias("size")).filter("size > 1")
-        return df.join(sizes, ["tree", "region"])
 
-    shallow = sized(rows.withColumn("region", F.col("two")))
-    sparse = shallow.filter(F.col("size") <= CROWD).select("tree", "region", "node", "size")
-    deep = shallow.filter(F.col("size") > CROWD).select("tree", F.col("three").alias("region"), "node")
-    return sparse.unionByName(sized(deep).select("tree", "region", "node", "size"))
+def regions(reps: DataFrame) -> DataFrame:
+    """(tree, region, node, size): members of every region with two or more, at the depth that its crowd asks for."""
+    left = on_cluster_disk(forest(reps))
+    out = None
+    for depth in range(SHALLOW, DEEP + 1):
+        # a task of the sorted order sends one count for each run that it holds
+        rows = left.withColumn("region", F.xxhash64(F.substring("place", 1, 4 * depth)))
+        sizes = rows.groupBy("tree", "region").agg(F.count("*").alias("size")).filter("size > 1")
+        sized = rows.join(sizes, ["tree", "region"])
+        done = (sized if depth == DEEP else sized.filter(F.col("size") <= CROWD)).select("tree", "region", "node", "size")
+        out = done if out is None else out.unionByName(done)
+        left = sized.filter(F.col("size") > CROWD).select("tree", "place", "node")
+    return out
 
 
 def _sketches(column: pa.Array) -> np.ndarray:
@@ -135,6 +179,11 @@ def _typical(sketch: np.ndarray) -> int:
     return int(agree.argmax())
 
 
+def busy_tasks(df: DataFrame) -> int:
+    """Tasks for work whose cost is computing, not bytes: a number that adaptive execution leaves as it is."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def elect(members: DataFrame) -> DataFrame:
     """The most typical member of every region (tree, region, pivot, pivot_sketch).
 
@@ -224,7 +273,7 @@ def across_families(members: DataFrame, family: DataFrame, least: float) -> Data
             home, guest = np.concatenate(found).T
             yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(guest)], names=["home", "node"])
 
-    ordered = dealt.repartition("tree", "region", "i", "j").sortWithinPartitions("tree", "region", "i", "j", "side", "node")
+    ordered = dealt.repartition(busy_tasks(dealt), "tree", "region", "i", "j").sortWithinPartitions("tree", "region", "i", "j", "side", "node")
     return ordered.mapInArrow(compare, "home long, node long").distinct()
 
 
@@ -299,7 +348,7 @@ def links_in_blocks(texts: DataFrame, dealt: DataFrame, width: int, percent: int
                 b.append(node[lo + on])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, dtype=np.int64)) for x in (a, b)], names=["a", "b"])
 
-    ordered = rows.repartition("family", "kind", "i", "j").sortWithinPartitions("family", "kind", "i", "j", "side", "node")
+    ordered = rows.repartition(busy_tasks(rows), "family", "kind", "i", "j").sortWithinPartitions("family", "kind", "i", "j", "side", "node")
     return ordered.mapInArrow(link, "a long, b long")
 
 
@@ -308,10 +357,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     least = percent / 100 - SLACK
     base = on_cluster_disk(signatures(docs, width))
     usable = base.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    reps = usable.groupBy("key", "key2").agg(F.min_by(F.struct("doc_id", "two", "three", "sketch"), "doc_id").alias("r"))
-    reps = on_cluster_disk(reps.select("key", "key2", F.col("r.doc_id").alias("node"), "r.two", "r.three", "r.sketch"))
+    reps = usable.groupBy("key", "key2").agg(F.min_by(F.struct("doc_id", "orders", "sketch"), "doc_id").alias("r"))
+    reps = on_cluster_disk(reps.select("key", "key2", F.col("r.doc_id").alias("node"), "r.orders", "r.sketch"))
     # a row for each node, also where rows share a doc_id
-    nodes = reps.select("node", "two", "three", "sketch")
+    nodes = reps.select("node", "orders", "sketch")
     members = on_cluster_disk(regions(nodes).join(nodes.select("node", "sketch"), "node").select("tree", "region", "node", "sketch", "size"))
     family = on_cluster_disk(families(members, elect(members), least))
     guests = on_cluster_disk(across_families(members, family, least))
