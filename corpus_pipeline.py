@@ -34,7 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8): that with the smallest doc_id.
 
-    Of rows that share the kept doc_id one stays; rows without a doc_id have no group and stay.
+    Of rows that share the kept doc_id the smallest stays, by text (null first) and then by the other columns;
+    rows without a doc_id have no group and stay.
     """
     ship_package(spark)
     judged = neardup.near_duplicates(docs, width=5, percent=80).filter(F.col("doc_id").isNotNull())
@@ -44,7 +45,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     marked = mark_members(docs, "doc_id", touched.select("doc_id"), "__touched")
     doubtful = marked.filter("__touched").drop("__touched").join(ids.filter("kept").select("doc_id", F.col("rows").alias("__rows")), "doc_id")
     once = doubtful.filter("__rows = 1").select(*docs.columns)
-    several = doubtful.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    first = F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("__first")
+    several = doubtful.filter("__rows > 1").groupBy("doc_id").agg(first).select("doc_id", "__first.*").select(*docs.columns)
     return marked.filter("not __touched").select(*docs.columns).unionByName(once).unionByName(several)
 
 

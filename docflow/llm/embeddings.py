@@ -43,7 +43,10 @@ def tables_for(classes: int, threshold: float, recall: float) -> tuple[int, int]
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.asarray(column.flatten(), dtype=np.float64).reshape(-1, width)
+    """Vectors of length 1; scaled by their largest component first, so no square overflows or vanishes."""
+    x = np.asarray(column.flatten(), dtype=np.float64).reshape(-1, width)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def codes(classes: DataFrame, width: int, bits: int, tables: int) -> DataFrame:
@@ -117,7 +120,6 @@ def link_classes(classes: DataFrame, width: int, threshold: float, recall: float
     def link(key: tuple, group: pa.Table) -> pa.Table:
         column = {n: group.column(n).combine_chunks() for n in ("first", "node", "weight", "embedding", "codes")}
         x = _matrix(column["embedding"], width)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
         code = np.asarray(column["codes"].flatten()).reshape(len(x), -1)
         first = column["first"].to_numpy(zero_copy_only=False)
         node, links, other = link_block(key[0].as_py(), first, x, code, column["weight"].to_numpy(), column["node"].to_numpy(), threshold)

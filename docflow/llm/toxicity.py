@@ -193,7 +193,8 @@ def learn(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
                 edges = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(edges), pa.array(feature))], names=["positive", "found"])
 
-    encoded = rows.mapInArrow(encode, "positive boolean, found array<long>").orderBy("positive", "found").collect()  # bounded sample
+    encoded = rows.mapInArrow(encode, "positive boolean, found array<long>").collect()  # bounded sample
+    encoded.sort(key=lambda r: (r["positive"], r["found"]))
     return train([(r["positive"], np.searchsorted(features, r["found"])) for r in encoded], features, prior)
 
 

@@ -1,0 +1,44 @@
+"""Links among embeddings at the registered recall, and for components near the ends of the number range."""
+
+import numpy as np
+
+from docflow.llm import embeddings
+
+
+def brute(rows):
+    x = np.array([v for _, v in rows], dtype=np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    return {i: int(near[k].sum()) for k, (i, _) in enumerate(rows)}
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def test_recall_of_the_registered_setting(spark):
+    """Pairs just above the threshold among 1500 vectors: no link below it, and at least 0.95 of those above."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((500, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    rows = []
+    for k, b in enumerate(base):
+        for c in range(3):
+            noise = rng.standard_normal(64)
+            noise -= (noise @ b) * b
+            cosine = 1.0 if c == 0 else rng.uniform(0.9, 0.96)
+            rows.append((len(rows), (cosine * b + np.sqrt(1 - cosine**2) * noise / np.linalg.norm(noise)).tolist()))
+    want = brute(rows)
+    got = {r.vec_id: r.n_links for r in embeddings.near_embeddings(frame(spark, rows)).collect()}
+    assert sum(want.values()) >= 1500 and all(got[i] <= want[i] for i in want)
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+
+
+def test_very_large_and_very_small_components(spark):
+    one = [1.0, 2.0, 3.0, -1.0]
+    other = [3.0, -1.0, 0.5, 1.0]
+    rows = [(k, [x * s for x in v]) for k, (v, s) in enumerate((v, s) for v in (one, other) for s in (1.0, 1e200, 1e-200, 1e300, 1e-300))]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_embeddings(frame(spark, rows), recall=0.9999).collect()}
+    assert got == {k: (4, 0 if k < 5 else 5) for k in range(10)}
