@@ -28,6 +28,7 @@ from docflow.sinks import store_log
 from docflow.sinks.store_log import Entry
 
 _VERSION = re.compile(r"^v=(\d+)_b=(\d+)$")
+_LOGGED = re.compile(r"^v=\d+_b=\d+_t=[0-9a-f]+$")
 
 
 def committed(spark: SparkSession, root: str) -> list[Entry]:
@@ -36,7 +37,11 @@ def committed(spark: SparkSession, root: str) -> list[Entry]:
     known = {e.version for e in logged}
     fs, p, jvm = store_log.file_system(spark, root)
     old = []
-    for st in fs.listStatus(p) if fs.exists(p) else []:
+    held = list(fs.listStatus(p)) if fs.exists(p) else []
+    present = {st.getPath().getName() for st in held}
+    if store_log.FOLDER not in present and any(_LOGGED.match(n) for n in present):
+        raise RuntimeError(f"{root} holds versions, but their log {store_log.FOLDER} is missing (a copy without it?)")
+    for st in held:
         m = _VERSION.match(st.getPath().getName())
         if st.isDirectory() and m and int(m[1]) not in known and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
             old.append(Entry(int(m[1]), m[0], int(m[2])))
@@ -148,6 +153,7 @@ def write_version(
     if transaction is not None:
         streams[transaction[0]] = int(transaction[1])
     name = _table(root, directory)
+    store_log.prepare(spark, root)
     content.write.bucketBy(buckets, key).sortBy(key).option("path", _path(root, directory)).saveAsTable(name)
     try:
         store_log.publish(spark, root, Entry(number, directory, buckets, operation, streams))

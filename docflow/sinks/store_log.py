@@ -75,6 +75,12 @@ def entries(spark: SparkSession, root: str) -> list[Entry]:
     return sorted((Entry(**json.loads(read_text(spark, f"{folder}/{n}"))) for n in names(spark, folder) if _ENTRY.match(n)), key=lambda e: e.version)
 
 
+def prepare(spark: SparkSession, root: str) -> None:
+    """Create the log's folder before the first data: versions without it are a store whose log was lost."""
+    fs, p, _ = file_system(spark, f"{root.rstrip('/')}/{FOLDER}")
+    fs.mkdirs(p)
+
+
 def entry_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/{FOLDER}/{version:08d}.json"
 

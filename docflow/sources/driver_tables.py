@@ -51,12 +51,16 @@ def orders_with_items(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     both = orders.select(F.col("o_orderkey").alias("k"), o.alias("o"), _null_of(counted, i).alias("i")).unionByName(
         counted.select(F.col("l_orderkey").alias("k"), _null_of(orders, o).alias("o"), i.alias("i"))
     )
-    grouped = both.groupBy("k").agg(F.collect_list("o").alias("os"), F.collect_list("i").alias("is"))
-    return grouped.filter(F.size("os") > 0).select(
+    keyed = F.col("k").isNotNull()
+    grouped = both.filter(keyed).groupBy("k").agg(F.collect_list("o").alias("os"), F.collect_list("i").alias("is"))
+    found = grouped.filter(F.size("os") > 0).select(
         F.col("k").alias("o_orderkey"),
         F.explode("os").alias("o"),  # orders that share a key stay apart, each with the key's lines
-        F.when(F.col("k").isNotNull() & (F.size("is") > 0), F.array_sort("is")).alias("items"),
+        F.when(F.size("is") > 0, F.array_sort("is")).alias("items"),
     )
+    # orders without a key have no lines: they never meet in one group, however many there are
+    keyless = both.filter(~keyed & F.col("o").isNotNull()).select(F.col("k").alias("o_orderkey"), "o", F.lit(None).cast(found.schema["items"].dataType).alias("items"))
+    return found.unionByName(keyless)
 
 
 def _expand(items: Column, make) -> Column:

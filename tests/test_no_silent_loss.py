@@ -1,5 +1,7 @@
 """Rows that used to get lost or altered without a word."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -40,10 +42,20 @@ def test_an_empty_replay_leaves_nothing(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(0, 1), (1, 1)]
 
 
-def test_a_store_without_markers_is_refused(spark, tmp_path):
+def test_a_store_without_its_log_is_refused(spark, tmp_path):
     root = str(tmp_path / "store")
     delta = spark.range(3).selectExpr("id", "'v' AS doc", "timestamp_ntz'2024-01-01' AS inserted_at", "timestamp_ntz'2024-01-01' AS updated_at")
     upsert_keyed(spark, root, delta, "id", ["doc"])
+    shutil.rmtree(tmp_path / "store" / "_log")
+    for use in (lambda: upsert_keyed(spark, root, delta, "id", ["doc"]), lambda: read_keyed(spark, root, "id")):
+        with pytest.raises(RuntimeError):
+            use()
+
+
+def test_a_store_without_markers_is_refused(spark, tmp_path):
+    root = str(tmp_path / "store")
+    delta = spark.range(3).selectExpr("id", "'v' AS doc", "timestamp_ntz'2024-01-01' AS inserted_at", "timestamp_ntz'2024-01-01' AS updated_at")
+    delta.write.parquet(f"{root}/v=1_b=8")  # as earlier releases wrote a version
     for marker in tmp_path.glob("store/*/_SUCCESS"):
         marker.unlink()
     with pytest.raises(RuntimeError):
