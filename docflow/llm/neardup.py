@@ -201,7 +201,7 @@ def elect(members: DataFrame) -> DataFrame:
         blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
         dealt = left.withColumn("block", F.pmod(F.xxhash64("node", "tree"), blocks).cast("int")).select("tree", "region", "block", "node", "sketch")
         schema = StructType([dealt.schema[n] for n in ("tree", "region", "node", "sketch")])
-        ordered = dealt.repartition("tree", "region", "block").sortWithinPartitions("tree", "region", "block", "node")
+        ordered = dealt.repartition(busy_tasks(dealt), "tree", "region", "block").sortWithinPartitions("tree", "region", "block", "node")
         elected = on_cluster_disk(ordered.mapInArrow(vote, schema))
         sizes = elected.groupBy("tree", "region").agg(F.count("*").alias("size"))
         if not sizes.filter("size > 1").take(1):
@@ -219,7 +219,8 @@ def families(members: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
             on = pa.array(agree >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(on), batch.column(1).filter(on), pa.array(agree).filter(on)], names=["node", "pivot", "agree"])
 
-    near = members.join(pivots, ["tree", "region"]).filter("node <> pivot").select("node", "pivot", "sketch", "pivot_sketch").mapInArrow(compare, schema)
+    tasks = busy_tasks(members)
+    near = members.repartition(tasks, "tree", "region").join(pivots.repartition(tasks, "tree", "region"), ["tree", "region"]).filter("node <> pivot").select("node", "pivot", "sketch", "pivot_sketch").mapInArrow(compare, schema)
     best = on_cluster_disk(near.groupBy("node").agg(F.max_by("pivot", F.struct("agree", -F.col("pivot"))).alias("family")))
     for _ in range(2):  # an elected member may belong to a family itself
         up = best.select(F.col("node").alias("family"), F.col("family").alias("upper"))
