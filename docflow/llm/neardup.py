@@ -219,8 +219,14 @@ def families(members: DataFrame, pivots: DataFrame, least: float) -> DataFrame:
             on = pa.array(agree >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(on), batch.column(1).filter(on), pa.array(agree).filter(on)], names=["node", "pivot", "agree"])
 
+    # a crowded region is dealt to several tasks, each with its elected member
+    parts = F.ceil(F.col("size") / F.lit(8 * BLOCK)).cast("int")
+    sizes = members.groupBy("tree", "region").agg(F.max("size").alias("size"))
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    heads = pivots.join(sizes, ["tree", "region"]).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("size")
+    by = ["tree", "region", "part"]
     tasks = busy_tasks(members)
-    near = members.repartition(tasks, "tree", "region").join(pivots.repartition(tasks, "tree", "region"), ["tree", "region"]).filter("node <> pivot").select("node", "pivot", "sketch", "pivot_sketch").mapInArrow(compare, schema)
+    near = dealt.repartition(tasks, *by).join(heads.repartition(tasks, *by), by).filter("node <> pivot").select("node", "pivot", "sketch", "pivot_sketch").mapInArrow(compare, schema)
     best = on_cluster_disk(near.groupBy("node").agg(F.max_by("pivot", F.struct("agree", -F.col("pivot"))).alias("family")))
     for _ in range(2):  # an elected member may belong to a family itself
         up = best.select(F.col("node").alias("family"), F.col("family").alias("upper"))
