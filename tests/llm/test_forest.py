@@ -84,3 +84,10 @@ def test_recall_against_all_pairs(spark, documents):
     together = sum(got[i] == got[j] for i, j in links)
     assert len(links) > 200 and together >= 0.99 * len(links)
     assert all(got[i] == root[i] for i in got) or together < len(links)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 32, 33, 70])
+def test_typical_member(n):
+    sketch = np.random.default_rng(n).integers(0, 4, (n, neardup.SLOTS), dtype=np.uint8)
+    agree = [sum(int((sketch[i] == sketch[j]).sum()) for j in range(n)) for i in range(n)]
+    assert neardup._typical(sketch) == agree.index(max(agree))
