@@ -49,7 +49,8 @@ class WordIds:
 
     The tokenizer drops white space and never merges across it, so a text's ids are the ids of
     its words in order. It also splits a Latin word from punctuation behind it and ignores case,
-    so only bare words reach it, each once while it is remembered; a full table is begun anew.
+    so only bare words reach it, each once while it is remembered. A full table keeps the words that were
+    used most often, by parts of text, and forgets the others.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -58,16 +59,34 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.mark = self.tokenizer.encode("0", add_special_tokens=False).ids[0]
-        self._forget()
-
-    def _forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids = FlatLists(np.uint32)
+        self.uses = np.zeros(0, dtype=np.int64)
         self._add([""], np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
 
+    def _forget(self) -> None:
+        """Keep at most half of the entries and ids that fit: those in more parts of text than the others."""
+        least, size = 2, self.ids.size[: self.ids.lists]
+        while True:
+            keep = self.uses[: self.ids.lists] >= least
+            keep[0] = True  # the empty word comes first and stays
+            if 2 * keep.sum() <= REMEMBERED and 2 * size[keep].sum() <= 8 * REMEMBERED or keep.sum() == 1:
+                break
+            least *= 2
+        which = np.flatnonzero(keep)
+        words, uses = list(itertools.compress(self.number, keep.tolist())), self.uses[which]
+        ids, sizes = self.ids.gather(which)
+        self.number, self.ids = {}, FlatLists(np.uint32)
+        self._add(words, ids, sizes)
+        self.uses[: len(words)] = uses
+
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Entries are numbered in the order in which they come."""
         self.number.update(zip(words, range(self.ids.lists, self.ids.lists + len(words))))
         self.ids.extend(ids, sizes)
+        if len(self.uses) < len(self.ids.size):
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.ids.size) - len(self.uses), dtype=np.int64)])
+        self.uses[self.ids.lists - len(words) : self.ids.lists] = 0
 
     def _learn_whole(self, words: list[str]) -> None:
         for at in range(0, len(words), 4096):
@@ -96,7 +115,9 @@ class WordIds:
         self._learn_whole([t for t in dict.fromkeys(t for _, _, t in joined) if t not in number])
         self._learn_whole([w for w in whole if w not in number])
         joined = [x for x in joined if x[0] not in number]
-        ids, sizes = self.ids.gather(np.array([[number[s], number[t]] for _, s, t in joined], dtype=np.int64).ravel())
+        parts = np.array([[number[s], number[t]] for _, s, t in joined], dtype=np.int64).ravel()
+        np.add.at(self.uses, parts, 1)
+        ids, sizes = self.ids.gather(parts)
         self._add([w for w, _, _ in joined], ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
@@ -106,7 +127,9 @@ class WordIds:
                 self._forget()
                 new = [w for w in words if w not in self.number]
             self._learn(new)
-        return np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        found = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        self.uses[found] += 1
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, first id of each text and the end); no text is null."""

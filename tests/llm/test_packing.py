@@ -47,6 +47,17 @@ def test_a_small_cache_changes_nothing(words, monkeypatch):
         assert encode(own, TEXTS) == [whole(own, t) for t in TEXTS]
 
 
+def test_a_full_table_keeps_frequent_words(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 60)
+    own = packing.WordIds(packing.tokenizer_file())
+    for k in range(30):
+        texts = [f"Always here, often. new{k}x{j} word{chr(97 + k % 26)}{chr(97 + j)}" for j in range(12)]
+        assert encode(own, texts) == [whole(own, t) for t in texts]
+        assert len(own.number) == own.ids.lists <= 60 + 60
+        if k > 3:
+            assert {"Always", "here,", "often."} <= set(own.number)
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_best_fit_keeps_every_capacity(rule):
     rng = np.random.default_rng(0)
