@@ -38,8 +38,8 @@ END_ID = 1
 GROUP_SEQUENCES = 2048
 GROUP_ROWS = 1 << 17
 #: Words that a worker remembers, and bytes of text handled at once.
-REMEMBERED = 700_000
-PART_BYTES = 1 << 23
+REMEMBERED = 600_000
+PART_BYTES = 1 << 22
 #: A word of letters whose case and class no Unicode version changes, and punctuation behind it.
 LATIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{1,48})([.,;:!?#$%&*|()]{0,16})").fullmatch
 
