@@ -123,9 +123,9 @@ def _follow_topic(spark: SparkSession, sf_dir: str, name: str, **options) -> Dat
 
 
 def q_topic_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the earliest offset, with a limit that cuts the first landing into several micro-batches."""
-    first, _ = _topic_halves(spark, sf_dir)
-    return _follow_topic(spark, sf_dir, "earliest", starting="earliest", max_offsets=max(300, first.count()))
+    """From the earliest offset, with a limit of a sixth of all records a micro-batch."""
+    total = dt.event_history(spark, sf_dir).count()
+    return _follow_topic(spark, sf_dir, "earliest", starting="earliest", max_offsets=max(100, total // 6))
 
 
 def q_topic_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
