@@ -2,7 +2,9 @@
 
 The state of a key says that it was seen; it is held by RocksDB, partitioned by the key, and checkpointed with the
 stream, so a restarted stream emits nothing twice. Within a micro-batch each task first keeps the earliest row of
-a key it has (a hot key ships one row for each Arrow batch, not all its rows), then the state decides.
+a key it has (a hot key ships one row for each Arrow batch, not all its rows); then keys meet in groups of many keys,
+and the earliest row of each reaches Spark's streaming deduplication, which holds the state. No Python call or state
+request of its own is made for a single key.
 """
 
 from __future__ import annotations
@@ -10,13 +12,16 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Groups of keys for each shuffle partition: a group holds the candidates of a micro-batch divided by all groups.
+GROUPS_PER_PARTITION = 4
 
 
 def keep_state_in_rocksdb(spark: SparkSession) -> None:
-    """Streams started in this session from now on hold their state in RocksDB, which ``transformWithState`` needs."""
+    """Streams started in this session from now on hold their state in RocksDB."""
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
 
 
@@ -25,30 +30,15 @@ def first_seen(items: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
 
     Rows without a key are left out (``page_items`` puts them in the quarantine). Append mode.
     """
-    from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+    order = [key, *order_by]
 
-    names, order = list(items.columns), [key, *order_by]
+    def earliest(batch):
+        return batch.sort_values(order, na_position="last", kind="stable").drop_duplicates(key)
 
-    def earliest(batches: Iterator) -> Iterator:
-        for batch in batches:
-            batch = batch[batch[key].notna()]
-            yield batch.sort_values(order, na_position="last", kind="stable").drop_duplicates(key)
+    def earliest_of_each(batches: Iterator) -> Iterator:
+        yield from map(earliest, batches)
 
-    class FirstSight(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.seen = handle.getValueState("seen", "seen boolean")
-
-        def handleInputRows(self, value, rows, timerValues) -> Iterator:
-            import pandas as pd
-
-            found = [part for part in rows if len(part)]
-            if found and not self.seen.exists():
-                self.seen.update((True,))
-                first = pd.concat(found).sort_values(order[1:], na_position="last", kind="stable").head(1)
-                yield first.assign(**{key: value[0]})[names]
-
-        def close(self) -> None:
-            pass
-
-    candidates = items.mapInPandas(earliest, items.schema)
-    return candidates.groupBy(key).transformWithStateInPandas(FirstSight(), items.schema, outputMode="Append", timeMode="None")
+    candidates = items.filter(F.col(key).isNotNull()).mapInPandas(earliest_of_each, items.schema)
+    partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.pmod(F.xxhash64(key), F.lit(GROUPS_PER_PARTITION * partitions))
+    return candidates.groupBy(group).applyInPandas(earliest, items.schema).dropDuplicates([key])

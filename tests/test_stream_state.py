@@ -45,6 +45,30 @@ def test_first_sight_over_restarts(spark, rocksdb):
     assert got == [(0, 1, "a"), (0, 2, "x"), (1, 3, "n"), (2, 4, "hot499")]
 
 
+def test_first_sight_of_many_keys_keeps_long_keys_apart(spark, rocksdb):
+    """Rows of a key are in several files; keys above 2**53 stand beside rows without a key."""
+    landing, out, chk = (scratch_path(spark, f"t_many_{n}") for n in ("landing", "out", "chk"))
+    keys = [2**60 + k for k in range(3000)]
+    seen = [(k, f"{k}/{p}", day(p), p) for k in keys for p in (3, 2, 4)]
+    source = spark.readStream.schema(ITEMS).parquet(f"{landing}/*")
+    items = first_seen(source, "_id", ["at", "page"])
+    batches = [seen + [(None, "keyless", day(1), 1)] * 50, [(k + 1000, f"{k + 1000}/1", day(1), 1) for k in keys]]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, ITEMS).repartition(6).write.parquet(f"{landing}/part={n}")
+        query = run_stream(items, lambda df, b: write_batch(df, out, b), chk, trigger={"availableNow": True})
+        query.awaitTermination()
+        assert query.exception() is None
+    got = sorted((r.batch_id, r._id, r.name) for r in spark.read.parquet(out).collect())
+    assert got == [(0, k, f"{k}/2") for k in keys] + [(1, k, f"{k}/1") for k in range(2**60 + 3000, 2**60 + 4000)]
+
+
+def test_first_sight_asks_no_python_for_the_state_of_a_key(spark, tmp_path):
+    spark.createDataFrame([], ITEMS).write.parquet(f"{tmp_path}/landing")
+    source = spark.readStream.schema(ITEMS).parquet(f"{tmp_path}/landing")
+    plan = first_seen(source, "_id", ["at", "page"])._jdf.queryExecution().analyzed().toString()
+    assert "Deduplicate [_id" in plan and "TransformWithState" not in plan
+
+
 def lines(spark, path, rows):
     spark.createDataFrame([(r,) for r in rows], "value string").write.text(path)
 
