@@ -9,24 +9,21 @@ it. Fields that the schema does not declare are left out on purpose and are no l
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 LOSSES = "array<struct<path:string,raw_value:string>>"
+# Field names that a VARIANT path takes as they are.
+PLAIN_NAME = re.compile(r"[\w$]+")
 
 
 def is_object(variant: Column) -> Column:
     return F.try_variant_get(variant, "$", "map<string,variant>").isNotNull()
 
 
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with ``value`` computed once however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _none() -> Column:
     return F.array().cast(LOSSES)
 
@@ -35,20 +32,51 @@ def _one(path: Column, raw: Column) -> Column:
     return F.array(F.struct(path.alias("path"), F.to_json(raw).alias("raw_value"))).cast(LOSSES)
 
 
-def losses(raw: Column, typed: Column, kind: DataType, path: Column) -> Column:
-    """Array of (path, raw_value) of what ``typed`` (of type ``kind``) lacks of the VARIANT ``raw``."""
-    present = raw.isNotNull() & ~F.is_variant_null(raw)
+def _at(raw: Column, steps: str) -> Column:
+    return raw if steps == "$" else F.try_variant_get(raw, steps, "variant")
+
+
+def _field(raw: Column, steps: str, name: str) -> tuple[Column, str]:
+    """The field `name` of the object at `steps`: by a longer path, or by key where a path cannot spell the name."""
+    if PLAIN_NAME.fullmatch(name):
+        return raw, f"{steps}.{name}"
+    return F.try_variant_get(raw, steps, "map<string,variant>")[name], "$"
+
+
+def has_null(typed: Column, kind: DataType) -> Column:
+    """Whether ``typed`` or anything in it is NULL: where nothing is, nothing can be lost."""
+    found = typed.isNull()
+    if isinstance(kind, StructType):
+        for f in kind.fields:
+            found = found | has_null(typed[f.name], f.dataType)
+    elif isinstance(kind, ArrayType):
+        found = found | F.exists(typed, lambda e: has_null(e, kind.elementType))
+    elif isinstance(kind, MapType):
+        found = found | F.exists(F.map_values(typed), lambda e: has_null(e, kind.valueType))
+    return found
+
+
+def losses(raw: Column, typed: Column, kind: DataType, path: Column, steps: str = "$") -> Column:
+    """Array of (path, raw_value) of what ``typed`` (of type ``kind``) lacks of the value at ``steps`` in the VARIANT ``raw``.
+
+    The VARIANT is read only where ``typed`` is NULL, or for an array or a map with a NULL in it.
+    """
     if isinstance(kind, StructType):
-        inner = _with(F.try_variant_get(raw, "$", "map<string,variant>"), lambda m: F.concat(*[losses(m[f.name], typed[f.name], f.dataType, F.concat(path, F.lit("." + f.name))) for f in kind.fields]))
+        parts = [losses(base, typed[f.name], f.dataType, F.concat(path, F.lit("." + f.name)), at) for f in kind.fields for base, at in [_field(raw, steps, f.name)]]
+        inner = F.concat(*parts) if parts else _none()
     elif isinstance(kind, ArrayType):
-        elements = F.try_variant_get(raw, "$", "array<variant>")
-        inner = F.flatten(F.transform(elements, lambda e, i: losses(e, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        elements = F.try_variant_get(raw, steps, "array<variant>")
+        found = F.flatten(F.transform(elements, lambda e, i: losses(e, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        inner = F.when(has_null(typed, kind), F.coalesce(found, _none())).otherwise(_none())
     elif isinstance(kind, MapType):
-        entries = F.map_entries(F.try_variant_get(raw, "$", "map<string,variant>"))
-        inner = F.flatten(F.transform(entries, lambda e: losses(e["value"], typed[e["key"]], kind.valueType, F.concat(path, F.lit("."), e["key"]))))
+        entries = F.map_entries(F.try_variant_get(raw, steps, "map<string,variant>"))
+        found = F.flatten(F.transform(entries, lambda e: losses(e["value"], typed[e["key"]], kind.valueType, F.concat(path, F.lit("."), e["key"]))))
+        inner = F.when(has_null(typed, kind), F.coalesce(found, _none())).otherwise(_none())
     else:
         inner = _none()
-    return F.when(present & typed.isNull(), _one(path, raw)).when(present, inner).otherwise(_none())
+    # as a string, a JSON null and an absent value are both NULL
+    lost = F.when(F.try_variant_get(raw, steps, "string").isNotNull(), _one(path, _at(raw, steps))).otherwise(_none())
+    return F.when(typed.isNull(), lost).otherwise(inner)
 
 
 def parse_with_losses(df: DataFrame, schema: StructType, value_col: str = "value", lost: str = "lost") -> DataFrame:

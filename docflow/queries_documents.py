@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.operators.losses import decode_errors
@@ -14,20 +14,23 @@ from docflow.sources import driver_tables as dt
 from docflow.sources.inferred import scan_inferred
 
 
+def _by_status(docs: DataFrame, finished: dict[str, Column], open_job: dict[str, Column]) -> DataFrame:
+    """Documents as JSON text in one pass: finished and open jobs with some fields of another type, all others as they are."""
+
+    def text(changed: dict[str, Column]) -> Column:
+        return F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns]))
+
+    status = F.col("content")
+    return docs.select(F.when(status == "F", text(finished)).when(status == "O", text(open_job)).otherwise(text({})).alias("value"))
+
+
 def q_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job documents of a collection without a declared schema: `skills_str` is a number in finished
     jobs and text in others, `salary.value` an object in open ones."""
     docs = dt.job_documents(spark, sf_dir)
-    finished, open_job = F.col("content") == "F", F.col("content") == "O"
     salary = F.struct(F.col("salary.is_negotiable").alias("is_negotiable"), F.struct(F.col("title").alias("range")).alias("value"))
-    parts = [
-        docs.filter(finished).withColumn("skills_str", F.col("owned_id")),
-        docs.filter(open_job).withColumn("salary", salary),
-        docs.filter(~F.coalesce(finished | open_job, F.lit(False))),
-    ]
     path = scratch_path(spark, "jobs_collection")
-    for k, part in enumerate(parts):
-        dt.as_json(part).write.text(f"{path}/part={k}")
+    _by_status(docs, {"skills_str": F.col("owned_id")}, {"salary": salary}).write.text(f"{path}/part=0")
     found, _, inferred = scan_inferred(spark, f"{path}/*")
     kinds = {f.name: f.dataType.simpleString() for f in inferred.schema.fields}
     return found.select(
@@ -41,15 +44,10 @@ def q_decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with fields of other types than declared: an owner as text, a date as text, a number with a
     fraction sign among the benefits, a salary that is no object. Every lost field is a row."""
     docs = dt.job_documents(spark, sf_dir)
-    status = F.col("content")
-    parts = [
-        docs.filter(status == "F").withColumn("owned_id", F.concat(F.lit("owner-"), F.col("owned_id").cast("string"))).withColumn("salary", F.col("title")),
-        docs.filter(status == "O").withColumn("inserted_at", F.struct(F.col("detail_url").alias("$date"))).withColumn("benefits", F.transform("benefits", lambda b: F.struct((b["id"] / 2).alias("id"), b["value"].alias("value")))),
-        docs.filter(~F.coalesce((status == "F") | (status == "O"), F.lit(False))),
-    ]
-    text = None
-    for part in parts:
-        text = dt.as_json(part) if text is None else text.unionByName(dt.as_json(part))
+    finished = {"owned_id": F.concat(F.lit("owner-"), F.col("owned_id").cast("string")), "salary": F.col("title")}
+    halves = F.transform("benefits", lambda b: F.struct((b["id"] / 2).alias("id"), b["value"].alias("value")))
+    open_job = {"inserted_at": F.struct(F.col("detail_url").alias("$date")), "benefits": halves}
+    text = _by_status(docs, finished, open_job)
     return decode_errors(text, JOB_SCHEMA)
 
 

@@ -72,3 +72,18 @@ def test_unreadable_text_nulls_and_lost_keys(text_df):
 def test_one_decode_and_no_shuffle(text_df):
     plan = decode_errors(text_df(['{"_id":1}']), SCHEMA)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1 and plan.count("try_parse_json") + plan.count("parse_json") <= 2 and "Exchange" not in plan
+
+
+def test_field_names_that_a_path_cannot_spell(text_df):
+    names = ["a.b", "x y", "a[0]", "it's", 'q"', " lead", "größe"]
+    schema = StructType([StructField("_id", LongType()), StructField("o", StructType([StructField(n, IntegerType()) for n in names]))])
+    text = [json.dumps({"_id": 1, "o": {n: "lost" for n in names}}), json.dumps({"_id": 2, "o": {n: 1 for n in names}}), json.dumps({"_id": 3, "o": {n: None for n in names}, "a": "x"})]
+    got = [(r._id, r.path, r.raw_value) for r in decode_errors(text_df(text), schema).collect()]
+    assert got == [(1, f"$.o.{n}", '"lost"') for n in names]
+
+
+def test_documents_of_the_query_are_built_once(spark):
+    from docflow.queries_documents import q_decode_errors
+
+    plan = q_decode_errors(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and plan.count("collect_list(i") == 1
