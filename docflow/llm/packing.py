@@ -31,113 +31,168 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from docflow.llm.common import on_cluster_disk, read_documents
-from docflow.llm.flatwords import FlatLists, numbered, split_column, sums, text_parts
+from docflow.llm.flatwords import FlatLists, WordTable, spread, sums, text_parts
+from docflow.llm.textwords import _LOWER, text_blocks
 
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP_SEQUENCES = 2048
 GROUP_ROWS = 1 << 17
 #: Words that a worker remembers, and bytes of text handled at once.
-REMEMBERED = 600_000
-PART_BYTES = 1 << 22
-#: A word of letters whose case and class no Unicode version changes, and punctuation behind it.
-LATIN_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{1,48})([.,;:!?#$%&*|()]{0,16})").fullmatch
+REMEMBERED = 300_000
+PART_BYTES = 1 << 20
+
+# kinds of bytes; a word with an OTHER byte stays as it is
+OTHER, LETTER, MARK, DIGIT, LATIN, BLANK = range(6)
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[[*range(65, 91), *range(97, 123)]] = LETTER
+_KIND[list(b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~")] = MARK  # neither the apostrophe of a contraction nor the < of a special token
+_KIND[48:58] = DIGIT
+_KIND[[0xC3, 0xC4]] = LATIN  # first byte of U+00C0 to U+013F
+_BLANKS = np.zeros(256, dtype=bool)
+_BLANKS[[10, 32]] = True
+_KIND[_BLANKS] = BLANK
+#: Small ASCII and Latin letters up to U+012F, whose case and class no Unicode version changes.
+SMALL_LETTERS = re.compile(f"[a-z{''.join(c for c in map(chr, range(0xDF, 0x130)) if c.islower())}]+").fullmatch
+
+
+def words_between(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte of each word, its size, first word of each text and the end) of texts with blanks between words."""
+    inside = np.zeros(len(data) + 1, dtype=bool)
+    np.logical_not(_BLANKS[data], out=inside[1:])
+    edge = inside[1:] != inside[:-1]
+    cut = offsets[(offsets > 0) & (offsets < len(data))]
+    both = np.unique(cut[inside[cut] & inside[cut + 1]])  # a word ends and another begins
+    edges = np.flatnonzero(edge)
+    if len(both):
+        edges = np.insert(edges, np.searchsorted(edges, both).repeat(2), both.repeat(2))
+    if len(edges) % 2:
+        edges = np.r_[edges, len(data)]
+    begin = edges[::2]
+    return begin, edges[1::2] - begin, np.searchsorted(begin, offsets)
+
+
+def plain_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the words with a space between letters, digits and punctuation, and with small letters.
+
+    This is what the tokenizer itself does to ASCII and the Latin letters up to U+012F, whose case and composition depend on
+    no neighbour. A word that holds anything else is left as it is.
+    """
+    kind = _KIND[data]
+    pair = np.flatnonzero(kind == LATIN)
+    second = data[pair + 1]
+    letter = np.where(data[pair] == 0xC3, (second != 0x97) & (second != 0xB7), second < 0xB0)
+    kind[pair] = kind[pair + 1] = np.where(letter, LETTER, OTHER)
+    out = _LOWER[data]
+    other = np.flatnonzero(kind == OTHER)
+    if len(other):
+        row = np.unique(np.searchsorted(offsets, other, side="right") - 1)
+        whole = np.zeros(len(offsets) - 1, dtype=bool)
+        whole[row] = True
+        whole = np.repeat(whole, np.diff(offsets))
+        np.copyto(out, data, where=whole)
+        kind[whole] = OTHER
+        letter &= ~whole[pair]
+    pair, second = pair[letter], second[letter]
+    big = np.where(data[pair] == 0xC3, (second < 0x9F) * 32, 1 - second % 2)
+    out[pair + 1] = second + big.astype(np.uint8)
+    border = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] != OTHER) & (kind[:-1] != OTHER)) + 1
+    return np.insert(out, border, 32), offsets + np.searchsorted(border, offsets)
 
 
 class WordIds:
     """Token ids of texts, by white-space separated words kept in one flat table.
 
     The tokenizer drops white space and never merges across it, so a text's ids are the ids of
-    its words in order. It also splits a Latin word from punctuation behind it and ignores case,
-    so only bare words reach it, each once while it is remembered. A full table keeps the words that were
+    its words in order. A new word is cut by ``plain_runs``, and a second table keeps the runs: few are new, and each
+    reaches the tokenizer once while it is remembered. A run of small letters goes to the tokenizer's model at once,
+    as nothing in it is left to normalise or to split. A full table keeps the words that were
     used most often, by parts of text, and forgets the others.
     """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task on every core
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.mark = self.tokenizer.encode("0", add_special_tokens=False).ids[0]
-        self.number: dict[str, int] = {}
-        self.ids = FlatLists(np.uint32)
-        self.uses = np.zeros(0, dtype=np.int64)
-        self._add([""], np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
-
-    def _forget(self) -> None:
-        """Keep at most half of the entries and ids that fit: those in more parts of text than the others."""
-        least, size = 2, self.ids.size[: self.ids.lists]
-        while True:
-            keep = self.uses[: self.ids.lists] >= least
-            keep[0] = True  # the empty word comes first and stays
-            if 2 * keep.sum() <= REMEMBERED and 2 * size[keep].sum() <= 8 * REMEMBERED or keep.sum() == 1:
-                break
-            least *= 2
-        which = np.flatnonzero(keep)
-        words, uses = list(itertools.compress(self.number, keep.tolist())), self.uses[which]
-        ids, sizes = self.ids.gather(which)
-        self.number, self.ids = {}, FlatLists(np.uint32)
-        self._add(words, ids, sizes)
-        self.uses[: len(words)] = uses
-
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Entries are numbered in the order in which they come."""
-        self.number.update(zip(words, range(self.ids.lists, self.ids.lists + len(words))))
-        self.ids.extend(ids, sizes)
-        if len(self.uses) < len(self.ids.size):
-            self.uses = np.concatenate([self.uses, np.zeros(len(self.ids.size) - len(self.uses), dtype=np.int64)])
-        self.uses[self.ids.lists - len(words) : self.ids.lists] = 0
-
-    def _learn_whole(self, words: list[str]) -> None:
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            own = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            self._add(part, np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32), np.array([len(i) for i in own], dtype=np.int64))
-
-    def _learn_bare(self, words: list[str]) -> None:
-        """Words of letters only: one text for many words, cut at the token of the digit between them."""
-        for at in range(0, len(words), 1024):
-            part = words[at : at + 1024]
-            ids = np.array(self.tokenizer.encode_batch_fast([" 0 ".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            marks = np.flatnonzero(ids == self.mark)
-            self._add(part, np.delete(ids, marks), np.diff(np.r_[-1, marks, len(ids)]) - 1)
-
-    def _learn(self, words: list[str]) -> None:
-        whole, joined = [], []
-        for w in words:
-            m = LATIN_WORD(w)
-            if m is None:
-                whole.append(w)
-            else:
-                joined.append((w, m[1].lower(), m[2]))
-        number = self.number
-        self._learn_bare([s for s in dict.fromkeys(s for _, s, _ in joined) if s not in number])
-        self._learn_whole([t for t in dict.fromkeys(t for _, _, t in joined) if t not in number])
-        self._learn_whole([w for w in whole if w not in number])
-        joined = [x for x in joined if x[0] not in number]
-        parts = np.array([[number[s], number[t]] for _, s, t in joined], dtype=np.int64).ravel()
-        np.add.at(self.uses, parts, 1)
-        ids, sizes = self.ids.gather(parts)
-        self._add([w for w, _, _ in joined], ids, sizes.reshape(-1, 2).sum(axis=1))
-
-    def _numbers(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.number]
-        if new:
-            if len(self.number) + len(new) > REMEMBERED or self.ids.used > 8 * REMEMBERED:
-                self._forget()
-                new = [w for w in words if w not in self.number]
-            self._learn(new)
-        found = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-        self.uses[found] += 1
+        self.model = self.tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x130)}
+        self.words, self.runs = WordTable(np.uint32), WordTable(np.uint32)
+
+    @property
+    def ids(self) -> FlatLists:
+        return self.words.ids
+
+    @property
+    def number(self) -> dict[str, int]:
+        """The remembered words of texts."""
+        return {w.decode(): n for n, w in enumerate(self.words.words())}
+
+    def _numbers(self, table: WordTable, data: np.ndarray, begin: np.ndarray, size: np.ndarray, learn) -> np.ndarray:
+        """Number of every word; ``learn`` gives the ids and their counts for the words that the table doesn't hold."""
+        found = table.find(data, begin, size)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            own, distinct = _distinct(data, begin[new], size[new])
+            if len(table) + len(distinct) > REMEMBERED or table.ids.used > 8 * REMEMBERED:
+                table.forget(REMEMBERED // 2, 4 * REMEMBERED)
+                found = table.find(data, begin, size)
+                new = np.flatnonzero(found < 0)
+                own, distinct = _distinct(data, begin[new], size[new])
+            place = np.empty(len(distinct), dtype=np.int64)
+            place[own] = new
+            found[new] = len(table) + own
+            table.add(data, begin[place], size[place], *learn(distinct))
+        table.used(found)
         return found
 
+    def _ids_of_runs(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        own = [()] * len(runs)
+        others = []
+        tokenize = self.model.tokenize
+        for k, w in enumerate(runs.to_pylist()):
+            if SMALL_LETTERS(w):
+                own[k] = [t.id for t in tokenize(w if w.isascii() else w.translate(self.bytes_of))]
+            else:
+                others.append((k, w))
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
+            for (k, _), e in zip(part, self.tokenizer.encode_batch_fast([w for _, w in part], add_special_tokens=False)):
+                own[k] = e.ids
+        return np.fromiter(itertools.chain.from_iterable(own), dtype=np.uint32), np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+
+    def _ids_of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        _, _, data, offsets = next(text_blocks(words, 1 << 62))
+        data, offsets = plain_runs(data, offsets)
+        begin, size, first = words_between(data, offsets)
+        data = np.r_[data, np.zeros(8, dtype=np.uint8)]
+        found = self._numbers(self.runs, data, begin, size, self._ids_of_runs)
+        ids, sizes = self.runs.ids.gather(found)
+        return ids, sums(sizes, first)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, first id of each text and the end); no text is null."""
-        edges, words = split_column(pc.replace_substring(texts, "\n", " "), " ")
-        which, distinct = numbered(words)
-        number = self._numbers(distinct)  # before the table is used: it may begin anew
-        ids, sizes = self.ids.gather(number[which])
-        return ids, np.r_[0, np.cumsum(sums(sizes, edges))]
+        if not len(texts):
+            return np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        _, _, data, offsets = next(text_blocks(texts, 1 << 62))
+        begin, size, first = words_between(data, offsets)
+        data = np.r_[data, np.zeros(8, dtype=np.uint8)]
+        found = self._numbers(self.words, data, begin, size, self._ids_of_words)
+        ids, sizes = self.words.ids.gather(found)
+        return ids, np.r_[0, np.cumsum(sums(sizes, first))]
+
+
+def _distinct(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word among the distinct ones, the distinct words)."""
+    edges = np.r_[0, np.cumsum(size)]
+    wide = edges[-1] >= 1 << 31
+    flat = pa.Array.from_buffers(
+        pa.large_string() if wide else pa.string(), len(begin), [None, pa.py_buffer(edges.astype(np.int64 if wide else np.int32)), pa.py_buffer(data[spread(begin, size)])]
+    )
+    coded = flat.dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
 _words: list[tuple[int, WordIds]] = []

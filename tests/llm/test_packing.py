@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -8,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docflow.llm import packing
+from docflow.llm.flatwords import WordTable, text_parts
 
 CAP = np.array([100.0, 5.0, 100.0**2])
 W = np.array([1.0, 0.01, 0.01])
@@ -138,3 +140,58 @@ def test_registered_query_needs_hardly_more_than_the_bound(spark):
             assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
     assert {r.doc_id for r in got} == set(texts)
     assert len(plan(got)) <= 1.001 * -(-sum(r.length for r in got) // 4096)
+
+
+RUNS = st.text(alphabet="aZ09.,-_é Éß×÷ÿĀđİıĸŁ'<|>\n\ṯ中", max_size=30)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(RUNS, max_size=8))
+def test_texts_beside_each_other(words, texts):
+    """Case, letters of two bytes and borders of words, also where one text ends and the next begins without a blank."""
+    assert encode(words, texts) == [whole(words, t) for t in texts]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.binary(min_size=1, max_size=20), min_size=1, max_size=30), max_size=4), st.integers(0, 12))
+def test_a_word_table_confuses_no_words(parts, most):
+    """Words of any bytes and sizes, zeros and equal ends among them, are found again exactly; a forgotten one is unknown."""
+    table, known = WordTable(np.uint32), {}
+
+    def find(words):
+        size = np.array([len(w) for w in words], dtype=np.int64)
+        return np.frombuffer(b"".join(words) + bytes(8), dtype=np.uint8), np.cumsum(size) - size, size
+
+    for part in parts:
+        part = [*part, *(w[:-1] + b"\0" for w in part), *(w + b"\0" for w in part), *(w[:8] + w[-8:] for w in part)]
+        found = table.find(*find(part))
+        assert [n >= 0 for n in found] == [w in known for w in part]
+        new = [w for w in dict.fromkeys(part) if w not in known]
+        sizes = np.array([len(w) % 4 for w in new], dtype=np.int64)
+        table.add(*find(new), np.repeat(np.array([len(w) for w in new], dtype=np.uint32), sizes), sizes)
+        known |= {w: None for w in new}
+        found = table.find(*find(part))
+        assert [table.words()[n] for n in found] == part
+        ids, sizes = table.ids.gather(found)
+        assert ids.tolist() == [len(w) for w in part for _ in range(len(w) % 4)] and sizes.tolist() == [len(w) % 4 for w in part]
+        table.used(found)
+        if len(table) > most:
+            table.forget(most, 4 * most)
+            known = dict.fromkeys(table.words())
+            assert len(known) == len(table) <= most
+
+
+def test_a_worker_stays_small():
+    """More new words than a worker remembers, in parts as large as ``pieces`` makes them: 65 MB at most, 125 MB before."""
+    own = packing.WordIds(packing.tokenizer_file())
+    letters = np.random.default_rng(3).integers(97, 123, (400_000, 7), dtype=np.uint8)
+    texts = pa.array([" ".join(bytes(r).decode() for r in letters[at : at + 1000]) for at in range(0, len(letters), 1000)])
+    tracemalloc.start()
+    try:
+        for row, stop in text_parts(texts, packing.PART_BYTES):
+            own.encode(texts.slice(row, stop - row))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most <= 80 << 20
+    assert len(own.number) == own.ids.lists <= packing.REMEMBERED
